@@ -1,8 +1,8 @@
 """Registered queries and their SQL."""
 
-from . import records
+from . import corpus_queries, records
 
-_MODULES = (records,)
-FLAGSHIP = "p2_found"
+_MODULES = (records, corpus_queries)
+FLAGSHIP = "top_bigrams"
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
