@@ -1,8 +1,8 @@
 """Registered queries and their SQL."""
 
-from . import corpus_queries, records
+from . import corpus_queries, lexicon_queries, records
 
-_MODULES = (records, corpus_queries)
+_MODULES = (records, corpus_queries, lexicon_queries)
 FLAGSHIP = "top_bigrams"
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from ..functions.text import PLAIN_SIGNS, SPACES, STOP_WORDS
+from ..functions.text import PLAIN_SIGNS, SPACES, STOP_WORDS, _latin_accents
 from ..operators.tokenize import SENTENCE_RULES, TOKEN, TOKEN_RULES
 
 
@@ -21,7 +21,10 @@ def trim(column: str) -> str:
 
 
 def normalize_word(column: str) -> str:
-    return f"trim(strip_accents(lower({chain(column, [(SPACES, ' '), ('[・·]+', '')])})))"
+    """Key form: accents of Latin letters only are stripped, so sound marks of kana stay."""
+    lowered = f"lower({chain(column, [(SPACES, ' '), ('[・·]+', '')])})"
+    bare, base = _latin_accents()
+    return f"trim(translate({chain(lowered, [(r'(' + chr(92) + r'p{Latin})' + chr(92) + r'p{Mn}+', chr(92) + '1')])}, {quote(bare)}, {quote(base)}))"
 
 
 def normalize_text(column: str) -> str:
