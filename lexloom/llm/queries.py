@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import word_key, word_key_udf
-from ..runtime import table
+from ..runtime import cut, table
 from .charforms import same_look, unify
 from .consensus import consensus
 from .leak import find_leaks
@@ -40,6 +40,7 @@ def survivors(records: DataFrame, trusts: DataFrame, how: str = "precedence") ->
         .join(keys, "record_id")
         .withColumn("trust", F.coalesce("trust", F.lit(0)).cast("int"))
     )
+    told = cut(told)  # read by the groups and by their members
     groups = told.groupBy("head", "pos_key").agg(F.min("record_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("text", "pronunciation", "translation"))))
     candidates = (
