@@ -23,7 +23,7 @@ PLAIN_SIGNS = (("[‘’´`]", "'"), ("[“”]", '"'), ("[‐‑–—―−]",
 # Suffixes that differ between British and American spelling, either way.
 SPELLING_SUFFIXES = (("our", "or"), ("ise", "ize"), ("isation", "ization"), ("yse", "yze"), ("re", "er"), ("ogue", "og"), ("ence", "ense"), ("elled", "eled"), ("elling", "eling"), ("ae", "e"))
 
-SPACES = r"[\s\p{Z}]+"
+SPACES = r"[\s\x0b\p{Z}]+"
 JAPANESE = r"[\p{Hiragana}\p{Katakana}ー\p{Han}]"
 
 
@@ -40,7 +40,7 @@ def sub(column: Column, pattern: str, by: str = "") -> Column:
 
 def trim(column: Column) -> Column:
     """Without outer blanks of any kind."""
-    return sub(column, r"^[\s\p{Z}]+|[\s\p{Z}]+$")
+    return sub(column, r"^[\s\x0b\p{Z}]+|[\s\x0b\p{Z}]+$")
 
 
 @cache

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import word_weight
+from ..runtime import work_partitions
 from .tokenize import document_sentences, ngrams, tokens
 
 # Reach of a co-occurrence window, decay by distance and over sentences, scale and exponents of scores.
@@ -106,14 +107,16 @@ def cooccurrences(documents: DataFrame, counts: DataFrame, least_word: int = 16)
     """
     frequent = counts.where(F.col("cnt") * word_weight(F.col("word")) >= least_word).select("word")
     flat = flat_words(documents).select("doc_id", F.posexplode("words").alias("pos", "w")).select("doc_id", "pos", "w.word", "w.sent", "w.first")
-    kept = flat.join(frequent, "word").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "sent", "first"))).alias("ws"))
+    # a number of parts of its own, for pairs are forty times the words that a small shuffle was sized by
+    kept = flat.join(frequent, "word").repartition(work_partitions(documents.sparkSession), "doc_id")
+    kept = kept.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "sent", "first"))).alias("ws"))
     first = kept.select("doc_id", "ws", F.posexplode("ws").alias("i", "a"))
     # in an array sorted by place, neighbours within reach are no further apart than in the document
     near = F.slice("ws", F.greatest(F.col("i") - WINDOW, F.lit(0)) + 1, F.least(F.col("i"), F.lit(WINDOW)) + WINDOW + 1)
-    first = first.where("a.first")
-    pairs = first.select("doc_id", F.col("a.pos").alias("pos"), F.col("a.word").alias("word"), F.col("a.sent").alias("sent"), F.explode(near).alias("b"))
+    pairs = first.where("a.first").select("doc_id", F.col("a.pos").alias("pos"), F.col("a.word").alias("word"), F.col("a.sent").alias("sent"), F.explode(near).alias("b"))
     distance = F.abs(F.col("b.pos") - F.col("pos"))
-    score = F.floor(SCALE * F.pow(F.lit(DECAY), (distance - 1).cast("double")) * F.when(F.col("b.sent") == F.col("sent"), 1.0).otherwise(OTHER_SENTENCE)).cast("bigint")
+    decayed = lambda weight: F.get(F.array(*(F.lit(int(SCALE * DECAY ** (d - 1) * weight)) for d in range(1, WINDOW + 1))), distance - 1)
+    score = F.when(F.col("b.sent") == F.col("sent"), decayed(1.0)).otherwise(decayed(OTHER_SENTENCE)).cast("bigint")
     pairs = pairs.where((distance <= WINDOW) & (F.col("b.word") != F.col("word"))).select("doc_id", "pos", "word", F.col("b.word").alias("cooc"), score.alias("score"))
     best = pairs.groupBy("doc_id", "pos", "word", "cooc").agg(F.max("score").alias("score"))
     return best.groupBy("word", "cooc").agg(F.sum("score").alias("score"))

@@ -145,7 +145,7 @@ def votes(rows: DataFrame, trusts: DataFrame) -> DataFrame:
 
 def best_labels(rows: DataFrame, best: tuple[str, ...] = (), vetted: tuple[str, ...] = ()) -> DataFrame:
     """key, label, cost: the source whose number and length of items come closest to what a reader wants."""
-    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\s\p{Z}]+"), lambda w: w != ""))
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\s\x0b\p{Z}]+"), lambda w: w != ""))
     stat = rows.withColumn("w", F.greatest(words, F.lit(1)).cast("double")).groupBy("key", "label").agg(
         F.count("*").alias("n"), F.avg(F.round(F.abs(F.log(F.lit(9.0)) - F.log("w")), 9)).alias("far")
     )

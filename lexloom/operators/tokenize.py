@@ -50,10 +50,10 @@ WIKI_RULES = (
 )
 # Lines of wiki markup that are dropped, and the marks taken off the others.
 WIKI_DROP = r"^[{|;!]|^:*(Image|File|Category):"
-WIKI_MARKS = ((r"^==+", ""), (r"==+$", ""), (r"^[#*:]+", ""), (r"[\s\p{Z}]+", " "))
+WIKI_MARKS = ((r"^==+", ""), (r"==+$", ""), (r"^[#*:]+", ""), (r"[\s\x0b\p{Z}]+", " "))
 # The rules that turn HTML into lines.
 HTML_RULES = (
-    (r"[\s\p{Z}]+", " "),
+    (r"[\s\x0b\p{Z}]+", " "),
     (r"<!--.*?-->", ""),
     (r"^.*<body[^>]*>", ""),
     (r"</body>.*$", ""),
@@ -126,7 +126,7 @@ def wiki_lines(text: Column) -> Column:
 
 def html_text(page: Column) -> Column:
     """An HTML page as lines: its title as a META block, headings marked, tags and entities resolved."""
-    title = F.regexp_extract(sub(page, r"[\s\p{Z}]+", " "), "<title[^>]*>(.*?)</title>", 1)
+    title = F.regexp_extract(sub(page, r"[\s\x0b\p{Z}]+", " "), "<title[^>]*>(.*?)</title>", 1)
     body = _chain(page, HTML_RULES)
     for entity, sign in HTML_ENTITIES:
         body = F.replace(body, F.lit(entity), F.lit(sign))

@@ -106,7 +106,7 @@ def cooc_topk(spark, directory):
 
 def cooc_prob(spark, directory):
     """Co-occurrence probabilities."""
-    return _score_table(spark, directory)[0].select("word", "cooc", F.round("prob", 9).alias("prob"), "rank")
+    return _score_table(spark, directory)[0].select("word", "cooc", F.round("prob", 12).alias("prob"), "rank")
 
 
 def cooc_score_table(spark, directory):
@@ -216,7 +216,7 @@ SQL = {
     "word_counts": f"with {q.ENGLISH_WORDS} select word, cnt, round(cnt / n_sentences, 9) as prob from word_cnt, n",
     "cooc_scores": f"with {q.ENGLISH_COOCS} select word, cooc, score from coocs",
     "cooc_topk": f"with {q.ENGLISH_COOCS} select word, cooc, score, rank::int as rank from top_coocs",
-    "cooc_prob": f"with {q.ENGLISH_COOCS} select word, cooc, round(prob, 9) as prob, rank::int as rank from cooc_prob",
+    "cooc_prob": f"with {q.ENGLISH_COOCS} select word, cooc, round(prob, 12) as prob, rank::int as rank from cooc_prob",
     "cooc_score_table": f"with {q.ENGLISH_COOCS} select word, idf_score, cooc, cooc_score from score_table",
     "related_words": f"""
       with {q.ENGLISH_COOCS},

@@ -310,7 +310,7 @@ SQL = {
     "best_labels": f"""
       with {_R},
       s as (select key, label, count(*) as n, avg(round(abs(ln(9) - ln(w)), 9)) as far from (
-        select key, label, greatest(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\s\\p{{Z}}]+'), lambda x: x <> '')), 1) as w from r) group by all),
+        select key, label, greatest(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\s\\x0b\\p{{Z}}]+'), lambda x: x <> '')), 1) as w from r) group by all),
       c as (select key, label, round((abs(ln(5) - ln(n)) + 0.5) * (far + 1) * (case when label = 'ed' then 0.8 when label in ('wn', 'we') then 1.0 else 1.4 end), 9) as cost from s)
       select key, label, cost from c qualify row_number() over (partition by key order by cost, label nulls first) = 1""",
     "good_words": f"""

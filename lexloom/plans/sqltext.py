@@ -17,7 +17,7 @@ def chain(column: str, rules) -> str:
 
 
 def trim(column: str) -> str:
-    return chain(column, [(r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")])
+    return chain(column, [(r"^[\s\x0b\p{Z}]+|[\s\x0b\p{Z}]+$", "")])
 
 
 def normalize_word(column: str) -> str:

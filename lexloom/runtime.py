@@ -37,6 +37,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def work_partitions(spark: SparkSession) -> int:
+    """Partitions for stages whose work outgrows their input, which adaptive coalescing would put on too few cores."""
+    return max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether `df` holds no more than `rows` rows; reads no more than it must to tell."""
     return df.limit(rows + 1).count() <= rows
