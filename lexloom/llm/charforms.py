@@ -134,8 +134,8 @@ def resolve(token: str) -> str:
         plain = _to_latin(token)
         votes: dict[str, int] = {}
         for ch in unicodedata.normalize("NFD", plain):
-            if ch.isalpha() and ch not in _SHARED_LATIN:
-                votes[_script(ch)] = votes.get(_script(ch), 0) + 1
+            if ch not in _SHARED_LATIN and (script := _script(ch)) in ("LATIN", *_FROM_LATIN):
+                votes[script] = votes.get(script, 0) + 1
         best = max(votes, key=lambda s: (votes[s], s == "LATIN", s), default="LATIN")
         if best in _FROM_LATIN:
             plain = unicodedata.normalize("NFC", "".join(_FROM_LATIN[best].get(c, c) for c in unicodedata.normalize("NFD", plain)))
