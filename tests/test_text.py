@@ -57,7 +57,7 @@ def test_sentences_and_tokens(spark):
 
 def test_markup(spark):
     assert one(spark, tk.wiki_lines(F.lit("== H ==\n* [[a|b]] ''c''<ref>x</ref>\n{| t\n:Image:q\n{{x}}d"))) == ["H", "a c", "d"]
-    page = "<html><head><title>T</title></head><body><h2 class='x'>A &amp; B</h2><p>c<br/>d</p><script>s</script></body></html>"
+    page = "<html><head><title>T</title></head><body><h2 class='x'>A &amp; B</h2><p>c<br>d</p><script>s</script></body></html>"
     assert one(spark, tk.html_text(F.lit(page))) == "====[META]====\n[title]: T\n====[PAGE]====\n[head2]: A & B\nc\nd"
     assert one(spark, tk.cram(F.lit("a\nb\n\n c \n\n\nd"))) == "a b\nc\nd"
 
