@@ -86,24 +86,24 @@ def field_rows(senses_frame: DataFrame) -> DataFrame:
 def listed_values(lines: DataFrame) -> DataFrame:
     """key, values: a word and its values in tab-separated fields, repeats in key form left out, order kept."""
     f = lines.select(F.split("value", "\t").alias("f")).where(F.size("f") >= 2)
-    values = F.filter(F.slice("f", 2, 2147483647), lambda v: trim(v) != "")
+    values = F.filter(F.slice("f", F.lit(2), F.size("f")), lambda v: trim(v) != "")
     keys = F.transform("values", normalize_word)
     once = F.filter("values", lambda v, i: F.array_position(keys, normalize_word(v)) == i + 1)
-    cut = f.select(normalize_word(F.col("f")[0]).alias("key"), F.transform(values, trim).alias("values")).where("key != ''")
+    cut = f.select(normalize_word(F.get("f", F.lit(0))).alias("key"), F.transform(values, trim).alias("values")).where("key != ''")
     return cut.select("key", once.alias("values")).where(F.size("values") > 0)
 
 
 def parallel_corpus(lines: DataFrame) -> DataFrame:
     """domain, score, source, target of lines with exactly four fields."""
     f = lines.select(F.split("value", "\t").alias("f")).where(F.size("f") == 4)
-    return f.select(F.col("f")[0].alias("domain"), F.try_to_number(F.col("f")[1], F.lit("S999999999.999999999")).cast("double").alias("score"), normalize_text(F.col("f")[2]).alias("source"), normalize_text(F.col("f")[3]).alias("target"))
+    return f.select(F.get("f", F.lit(0)).alias("domain"), F.try_to_number(F.get("f", F.lit(1)), F.lit("S999999999.999999999")).cast("double").alias("score"), normalize_text(F.get("f", F.lit(2))).alias("source"), normalize_text(F.get("f", F.lit(3))).alias("target"))
 
 
 def acquisition_ages(lines: DataFrame) -> DataFrame:
     """key, aoa: mean plus deviation (3.0 where it is missing) of seven-column ratings, averaged over all files."""
     f = lines.select(F.split("value", ",").alias("f")).where(F.size("f") == 7)
-    number = lambda i: F.when(F.trim(F.col("f")[i]).rlike(r"^\d+(\.\d+)?$"), F.trim(F.col("f")[i]).cast("double"))
-    rated = f.select(normalize_word(F.col("f")[0]).alias("key"), number(3).alias("occur"), number(4).alias("mean"), number(5).alias("deviation")).where("key != '' and mean is not null")
+    number = lambda i: F.when(F.trim(F.get("f", F.lit(i))).rlike(r"^\d+(\.\d+)?$"), F.trim(F.get("f", F.lit(i))).cast("double"))
+    rated = f.select(normalize_word(F.get("f", F.lit(0))).alias("key"), number(3).alias("occur"), number(4).alias("mean"), number(5).alias("deviation")).where("key != '' and mean is not null")
     return rated.groupBy("key").agg(F.avg(F.col("mean") + F.coalesce("deviation", F.lit(3.0))).alias("aoa"))
 
 
@@ -113,14 +113,14 @@ def synsets(lines: DataFrame) -> DataFrame:
     Comment lines are left out, the count of words is hexadecimal, underscores stand for blanks; five pointer types are ignored.
     """
     rows = lines.where(~F.startswith("value", F.lit(" "))).select(F.split(F.substring_index("value", "|", 1), " +").alias("f"), trim(F.substring_index("value", "|", -1)).alias("gloss"))
-    rows = rows.where((F.size("f") >= 6) & F.col("f")[0].rlike(r"^\d{8}$"))
-    counted = rows.withColumn("n", F.conv(F.col("f")[3], 16, 10).cast("int")).withColumn("p", F.get("f", F.col("n") * 2 + 4).cast("int"))
+    rows = rows.where((F.size("f") >= 6) & F.get("f", F.lit(0)).rlike(r"^\d{8}$"))
+    counted = rows.withColumn("n", F.conv(F.get("f", F.lit(3)), 16, 10).cast("int")).withColumn("p", F.get("f", F.col("n") * 2 + 4).cast("int"))
     word = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.replace(F.get("f", i * 2 + 4), F.lit("_"), F.lit(" ")))
     at = lambda i, k: F.get("f", F.col("n") * 2 + 5 + i * 4 + k)
     symbol = F.create_map(*(F.lit(x) for pair in POINTERS.items() for x in pair))
     pointer = F.when(F.col("p") > 0, F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.struct(symbol[at(i, 0)].alias("type"), F.concat(at(i, 1), F.lit("-"), at(i, 2)).alias("target"))))
-    pos = F.translate(F.col("f")[2], "s", "a")
-    return counted.select(F.concat(F.col("f")[0], F.lit("-"), pos).alias("synset_id"), pos.alias("pos"), word.alias("words"), "gloss", F.filter(F.coalesce(pointer, F.array()), lambda x: x["type"].isNotNull()).alias("pointers"))
+    pos = F.translate(F.get("f", F.lit(2)), "s", "a")
+    return counted.select(F.concat(F.get("f", F.lit(0)), F.lit("-"), pos).alias("synset_id"), pos.alias("pos"), word.alias("words"), "gloss", F.filter(F.coalesce(pointer, F.array()), lambda x: x["type"].isNotNull()).alias("pointers"))
 
 
 def synset_relations(synsets_frame: DataFrame) -> DataFrame:
