@@ -27,7 +27,7 @@ def english(documents: DataFrame) -> DataFrame:
 
 
 def sentence_tokens(documents: DataFrame, lowering: bool) -> DataFrame:
-    """doc_id, sent_id, words of the sentences that have a token; the corpora's cap of 64 sentences a document holds."""
+    """doc_id, sent_id, words of all sentences that have a token."""
     found = document_sentences(documents).select("doc_id", "sent_id", tokens(F.col("sentence"), lowering).alias("words"))
     return found.where(F.size("words") > 0)
 

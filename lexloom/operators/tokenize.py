@@ -97,10 +97,10 @@ def tokenize(df: DataFrame, language: str, text: str, lowering: bool = False, pl
     return tokens(df[text], lowering)
 
 
-def document_sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: int | None = 64) -> DataFrame:
-    """One row per sentence: the id, sent_id (from 0), sentence; at most `cap` sentences of a document, as corpora are counted."""
+def document_sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: int | None = None) -> DataFrame:
+    """One row per sentence: the id, sent_id (from 0), sentence; with `cap`, only the first `cap` sentences of a document."""
     found = sentences(F.col(text_col))
-    return documents.select(id_col, F.posexplode(F.slice(found, 1, cap) if cap else found).alias("sent_id", "sentence"))
+    return documents.select(id_col, F.posexplode(F.slice(found, 1, cap) if cap is not None else found).alias("sent_id", "sentence"))
 
 
 def readable(sentence: Column) -> Column:

@@ -111,7 +111,7 @@ def example_attach(spark, directory):
 def postings_index(spark, directory):
     """Sentences of each phrase of English documents, rare phrases first, at most a hundred each."""
     e = corpus.english(table(spark, directory, "documents"))
-    s = corpus.sentence_tokens(e, False).select((F.col("doc_id") * 1000 + F.col("sent_id")).alias("id"), "words")
+    s = corpus.sentence_tokens(e, False).select(F.struct("doc_id", "sent_id").alias("id"), "words")
     probs = corpus.phrase_probs(corpus.ngram_counts(e), corpus.totals(e))
     return examples.postings(s, probs).select("phrase", "n_total", F.size("ids").alias("n_ids"))
 

@@ -47,11 +47,12 @@ def sample(df: DataFrame, id_col: str, ratio: float, most: int | None = None, se
     return chosen.limit(most) if most is not None else chosen
 
 
-def tokenised_documents(spark: SparkSession, path: str, cap: int = 64) -> DataFrame:
-    """doc (file order), sentences array<array<string>>: a document a line, sentences parted by tabs, words by blanks."""
+def tokenised_documents(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
+    """doc (file order), sentences array<array<string>>: a document a line, sentences parted by tabs, words by blanks; `cap` cuts documents."""
     lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("doc"), "value")
     words = lambda s: F.filter(F.split(s, " "), lambda w: w != "")
-    sentences = F.filter(F.transform(F.slice(F.split("value", "\t"), 1, cap), words), lambda w: F.size(w) > 0)
+    parts = F.split("value", "\t")
+    sentences = F.filter(F.transform(F.slice(parts, 1, cap) if cap is not None else parts, words), lambda w: F.size(w) > 0)
     return lines.select("doc", sentences.alias("sentences")).where(F.size("sentences") > 0)
 
 

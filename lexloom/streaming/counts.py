@@ -14,15 +14,20 @@ def document_stream(spark: SparkSession, path: str, schema, per_trigger: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def phrase_counts(documents: DataFrame, longest: int = 3, cap: int = 64) -> DataFrame:
+def _sentences(documents: DataFrame, cap: int | None) -> DataFrame:
+    found = sentences(F.col("text"))
+    return documents.select(F.explode(F.slice(found, 1, cap) if cap is not None else found).alias("s"))
+
+
+def phrase_counts(documents: DataFrame, longest: int = 3, cap: int | None = None) -> DataFrame:
     """phrase, cnt as documents arrive; write in update or complete mode."""
-    each = documents.select(F.explode(F.slice(sentences(F.col("text")), 1, cap)).alias("s")).select(tokens(F.col("s")).alias("words")).where(F.size("words") > 0)
+    each = _sentences(documents, cap).select(tokens(F.col("s")).alias("words")).where(F.size("words") > 0)
     return each.select(F.explode(sentence_phrases(F.col("words"), longest)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("cnt"))
 
 
-def word_counts(documents: DataFrame, cap: int = 64) -> DataFrame:
+def word_counts(documents: DataFrame, cap: int | None = None) -> DataFrame:
     """word, cnt: sentences that hold each word in key form."""
-    each = documents.select(F.explode(F.slice(sentences(F.col("text")), 1, cap)).alias("s")).select(F.explode(F.array_distinct(tokens(F.col("s"), True))).alias("word"))
+    each = _sentences(documents, cap).select(F.explode(F.array_distinct(tokens(F.col("s"), True))).alias("word"))
     return each.where("word != ''").groupBy("word").agg(F.count("*").alias("cnt"))
 
 

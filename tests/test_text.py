@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as t
 from lexloom.operators import corpus, examples, features, search, similarity
 from lexloom.operators import tokenize as tk
+from lexloom.plans import text_queries
 
 
 def one(spark, column, **values):
@@ -85,6 +86,20 @@ def test_ngram_counts(docs):
     assert tuple(corpus.totals(docs).first()) == (3, 4, 16)
 
 
+def test_long_documents_count_whole(spark):
+    long = spark.createDataFrame([(7, "\n".join(f"word{i} stands here" for i in range(1100)), "en")], "doc_id long, text string, lang string")
+    assert tuple(corpus.totals(long).first()) == (1, 1100, 3300)
+    assert {r.word: r.cnt for r in corpus.word_counts(long).where("word in ('stands', 'word1099')").collect()} == {"stands": 1100, "word1099": 1}
+    assert tk.document_sentences(long, cap=64).count() == 64
+
+
+def test_postings_of_long_documents(spark, tmp_path):
+    rows = [(1, "\n".join(["one"] * 1000 + ["alpha beta"]), "en"), (2, "gamma alpha", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.phrase: r.n_total for r in text_queries.postings_index(spark, str(tmp_path)).collect()}
+    assert (got["one"], got["alpha"], got["gamma"]) == (1000, 2, 1)
+
+
 def test_cooccurrences(docs, spark):
     counts = corpus.word_counts(docs)
     assert {r.word: r.cnt for r in counts.collect()} == {"the": 2, "cat": 3, "sat": 1, "on": 1, "mat": 1, "ran": 1, "a": 1, "and": 1, "dog": 1, "dogs": 1, "run": 1}
