@@ -108,12 +108,17 @@ def readable(sentence: Column) -> Column:
     return ~F.substring(sentence, 1, 1).isin(list(BAD_HEADS)) & F.substring(sentence, -1, 1).isin(list(GOOD_TAILS))
 
 
-def readable_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 64) -> DataFrame:
-    """The middle `most` readable sentences of each document, tokenised, without those of fewer than six words: id, place, words."""
+def readable_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int | None = None) -> DataFrame:
+    """The readable sentences of each document, tokenised, without those of fewer than six words: id, place, words.
+
+    With `most`, only the middle `most` readable sentences of a document.
+    """
     good = documents.select(id_col, F.filter(sentences(F.col(text_col)), readable).alias("s"))
-    begin = F.floor(F.greatest(F.size("s") - most, F.lit(0)) / 2.5).cast("int")
-    middle = good.select(id_col, F.posexplode(F.slice("s", begin + 1, F.lit(most))).alias("place", "sentence"))
-    return middle.select(id_col, "place", tokens(F.col("sentence")).alias("words")).where(F.size("words") >= 6)
+    if most is not None:
+        begin = F.floor(F.greatest(F.size("s") - most, F.lit(0)) / 2.5).cast("int")
+        good = good.select(id_col, F.slice("s", begin + 1, F.lit(most)).alias("s"))
+    each = good.select(id_col, F.posexplode("s").alias("place", "sentence"))
+    return each.select(id_col, "place", tokens(F.col("sentence")).alias("words")).where(F.size("words") >= 6)
 
 
 def wiki_lines(text: Column) -> Column:

@@ -39,7 +39,7 @@ def tokenize_en(spark, directory):
 
 
 def tokenize_readable(spark, directory):
-    """The middle readable sentences of each English document."""
+    """The readable sentences of each English document."""
     return readable_documents(english(spark, directory)).select("doc_id", "place", F.array_join("words", " ").alias("words"))
 
 

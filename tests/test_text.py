@@ -93,6 +93,13 @@ def test_long_documents_count_whole(spark):
     assert tk.document_sentences(long, cap=64).count() == 64
 
 
+def test_readable_documents_are_whole(spark):
+    long = spark.createDataFrame([(7, "\n".join(f"Word{i} stands here in this line." for i in range(100)))], "doc_id long, text string")
+    got = sorted((r.place, r.words[0]) for r in tk.readable_documents(long).collect())
+    assert got == [(i, f"Word{i}") for i in range(100)]
+    assert sorted(r.words[0] for r in tk.readable_documents(long, most=10).collect()) == [f"Word{i}" for i in range(36, 46)]
+
+
 def test_postings_of_long_documents(spark, tmp_path):
     rows = [(1, "\n".join(["one"] * 1000 + ["alpha beta"]), "en"), (2, "gamma alpha", "en")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
