@@ -151,7 +151,7 @@ def parallel_lines(spark, directory):
 def _phrase_pairs(spark, directory):
     lines = parallel_lines(spark, directory)
     targets = F.array_distinct(F.regexp_extract_all("trg", F.lit(TARGET.replace(r"\p{", r"\p{Is")), F.lit(0)))
-    sides = lines.select("domain", source_phrases(F.col("src"), 2).alias("s"), targets.alias("t"))
+    sides = lines.select("domain", source_phrases(F.col("src")).alias("s"), targets.alias("t"))
     return sides.select("domain", F.explode("s").alias("src"), "t").select("domain", "src", F.explode("t").alias("trg")).distinct()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as t
 from lexloom.operators import corpus, examples, features, search, similarity
 from lexloom.operators import tokenize as tk
-from lexloom.plans import text_queries
+from lexloom.plans import corpus_queries, text_queries
 
 
 def one(spark, column, **values):
@@ -73,6 +73,13 @@ def test_source_phrases(spark):
     assert set(one(spark, tk.source_phrases(F.lit("the cat's hat, old"), 2))) == {"the", "cat", "hat", "old", "the cat", "cat hat"}
 
 
+def test_domain_pairs_have_three_word_phrases(spark, tmp_path):
+    rows = [(i, f"the big dog of place{i}\t犬{i}", "parallel", f"d{i}") for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, domain_name string").withColumn("lang", F.lit("en")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.src: r.cnt for r in corpus_queries.domain_pairs(spark, str(tmp_path)).where("trg = '犬'").collect()}
+    assert got["the big dog"] == got["big dog of"] == 2 and "the big dog of" not in got
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [(1, "The cat sat on the mat\nthe cat ran", "en"), (2, "A cat and a dog", "EN"), (3, "Dogs run", "en"), (4, None, "en"), (5, "", "en"), (6, "猫", "ja")]
