@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import cut
+from .lexicon import ranked
 
 # Decay along lists of relations, and the weight each group starts with.
 DECAY = 0.95
@@ -47,27 +48,36 @@ def cluster_scores(items: DataFrame, centres: DataFrame) -> DataFrame:
     return dot.join(length(items, "key"), "key").join(length(centres, "cluster"), "cluster").select("key", "cluster", (F.col("dot") / (F.col("key_n") * F.col("cluster_n"))).alias("score"))
 
 
-def assign(scores: DataFrame, capacity: int, rounds: int = 20) -> DataFrame:
+def assign(scores: DataFrame, capacity: int, items: DataFrame | None = None, clusters: DataFrame | None = None) -> DataFrame:
     """key, cluster: each item in its best cluster that has room, the better item first.
 
     Deferred acceptance: in each round all items without a place ask their best cluster that has not refused them, and each
-    cluster keeps its `capacity` best; a round is one window, so no task holds more than a cluster's askers. Items that every
-    cluster refused stay without a place (cluster null).
+    cluster keeps its `capacity` best; a round is one window, so no task holds more than a cluster's askers. A full cluster
+    refuses all offers below its worst member at once, for its members only get better; rounds go on until none is refused.
+    `items` (key) and `clusters` (cluster) name all there are, by default those of the scores. A pair without a score counts 0:
+    items that are left fill the free places, by key and cluster. Only if there are fewer places than items, cluster is null.
     """
     open_offers = cut(scores.select("key", "cluster", F.round("score", 9).alias("score")))
-    for _ in range(rounds):
-        first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "cluster"))
-        asked = open_offers.withColumn("r", first)
-        place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("score"), "key"))
-        judged = asked.where("r = 1").withColumn("p", place)
-        refused = judged.where(F.col("p") > capacity).select("key", "cluster")
-        if refused.isEmpty():
-            break
-        open_offers = cut(open_offers.join(refused, ["key", "cluster"], "left_anti"))
+    keys = (scores if items is None else items).select("key").distinct()
     first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "cluster"))
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("score"), "key"))
-    placed = open_offers.withColumn("r", first).where("r = 1").withColumn("p", place).where(F.col("p") <= capacity).select("key", "cluster")
-    return scores.select("key").distinct().join(placed, "key", "left")
+    while True:
+        judged = cut(open_offers.withColumn("r", first).where("r = 1").withColumn("p", place).select("key", "cluster", "score", "p"))
+        if judged.where(F.col("p") > capacity).isEmpty():
+            break
+        worst = judged.where(F.col("p") == capacity).select("cluster", F.col("score").alias("bar"), F.col("key").alias("last"))
+        kept = F.col("bar").isNull() | (F.col("score") > F.col("bar")) | ((F.col("score") == F.col("bar")) & (F.col("key") <= F.col("last")))
+        open_offers = cut(open_offers.join(worst, "cluster", "left").where(kept).select("key", "cluster", "score"))
+    placed = judged.select("key", "cluster")
+    left = cut(keys.join(placed, "key", "left_anti"))
+    if left.isEmpty():
+        return keys.join(placed, "key", "left")
+    sizes = placed.groupBy("cluster").agg(F.count("*").alias("n"))
+    room = (scores if clusters is None else clusters).select("cluster").distinct().join(sizes, "cluster", "left").select("cluster", (F.lit(capacity) - F.coalesce("n", F.lit(0))).alias("room"))
+    before = F.sum("room").over(Window.orderBy("cluster").rowsBetween(Window.unboundedPreceding, 0)) - F.col("room")
+    slots = room.where("room > 0").withColumn("before", before).select("cluster", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("room"))).alias("rank"))
+    filled = ranked(left.withColumn("score", F.lit(0.0))).join(slots, "rank").select("key", "cluster")
+    return keys.join(placed.unionByName(filled), "key", "left")
 
 
 def seed_centres(features: DataFrame, count: int, candidates: int = 4) -> DataFrame:
@@ -96,16 +106,20 @@ def seed_centres(features: DataFrame, count: int, candidates: int = 4) -> DataFr
     return pool.groupBy(F.lit(0).alias("all")).applyInPandas(choose, "cluster int, label string, weight double")
 
 
-def cluster(features: DataFrame, count: int, rounds: int = 3, top: int = 160) -> DataFrame:
-    """key, cluster: rounds of capacity-bound assignment to centres that move with a momentum of 0.2."""
+def cluster(features: DataFrame, count: int, rounds: int = 3, top: int = 160, items: DataFrame | None = None) -> DataFrame:
+    """key, cluster: rounds of capacity-bound assignment to centres that move with a momentum of 0.2.
+
+    `items` (key) names all words to place, also those without features; by default those of the features.
+    """
     features = cut(features)
-    n = features.select("key").distinct().count()
+    items = cut((features if items is None else items).select("key").distinct())
+    n = items.count()
     capacity = -(-n // count)
     centres = cut(seed_centres(features, count))
     members = None
     for _ in range(rounds):
         scores = cut(cluster_scores(features, centres))
-        members = cut(assign(scores, capacity))
+        members = cut(assign(scores, capacity, items, centres))
         weighed = members.where("cluster is not null").join(scores, ["key", "cluster"]).join(features, "key")
         moved = weighed.groupBy("cluster", "label").agg(F.sum(F.round(F.col("weight") * (F.col("score") + 0.1), 9)).alias("weight"))
         greatest = Window.partitionBy("cluster")
@@ -121,4 +135,4 @@ def classify(members: DataFrame, features: DataFrame, quota: int = 15, top: int
     summed = placed.join(features, "key").groupBy("cluster", "label").agg(F.sum(F.round("weight", 9)).alias("weight"))
     centres = summed.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), "label"))).where(F.col("r") <= top).drop("r")
     new = features.join(placed.select("key"), "key", "left_anti")
-    return assign(cluster_scores(new, centres), quota)
+    return assign(cluster_scores(new, centres), quota, new, placed)

@@ -187,9 +187,9 @@ def feature_softmax(spark, directory):
 
 def cluster_words(spark, directory):
     """Linked headwords in clusters of equal capacity."""
-    linked = edges(spark, directory)
-    f = features.word_features(_relations(spark, directory).join(linked.select(F.col("child").alias("key")).distinct(), "key", "left_semi"))
-    return features.cluster(features.prune_features(f, 40, 8.0), 20)
+    linked = edges(spark, directory).select(F.col("child").alias("key")).distinct()
+    f = features.word_features(_relations(spark, directory).join(linked, "key", "left_semi"))
+    return features.cluster(features.prune_features(f, 40, 8.0), 20, items=linked)
 
 
 def classify_words(spark, directory):

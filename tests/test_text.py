@@ -205,6 +205,21 @@ def test_assignment_respects_capacity(spark):
     assert len(got) == 10 and sorted(got.values()).count(0) == 5
 
 
+def test_assignment_ends_when_none_is_refused(spark):
+    n = 23
+    scores = spark.createDataFrame([(f"k{i:02}", c, 1.0 - i / 1000 - c / 100) for i in range(n) for c in range(n)], "key string, cluster int, score double")
+    assert {r.key: r.cluster for r in features.assign(scores, 1).collect()} == {f"k{i:02}": i for i in range(n)}
+
+
+def test_items_without_scores_fill_free_places(spark):
+    scores = spark.createDataFrame([("a", 0, 0.9), ("b", 0, 0.8), ("c", 0, 0.7)], "key string, cluster int, score double")
+    items = spark.createDataFrame([(k,) for k in "abcdef"], "key string")
+    clusters = spark.createDataFrame([(0,), (1,), (2,)], "cluster int")
+    got = {r.key: r.cluster for r in features.assign(scores, 2, items, clusters).collect()}
+    assert got == {"a": 0, "b": 0, "c": 1, "d": 1, "e": 2, "f": 2}
+    assert {r.key: r.cluster for r in features.assign(scores, 2, items).collect()} == {"a": 0, "b": 0, "c": None, "d": None, "e": None, "f": None}
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert corpus.ngram_counts(none).count() == 0 and tuple(corpus.totals(none).first()) == (0, 0, 0)
