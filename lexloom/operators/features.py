@@ -129,10 +129,13 @@ def cluster(features: DataFrame, count: int, rounds: int = 3, top: int = 160, it
     return members
 
 
-def classify(members: DataFrame, features: DataFrame, quota: int = 15, top: int = 128) -> DataFrame:
-    """key, cluster of words without one: the nearest cluster that has room for it, up to `quota` each."""
+def classify(members: DataFrame, features: DataFrame, quota: int = 15, top: int = 128, items: DataFrame | None = None) -> DataFrame:
+    """key, cluster of words without one: the nearest cluster that has room for it, up to `quota` each.
+
+    `items` (key) names the words to place, also those without features; by default those of the features.
+    """
     placed = members.where("cluster is not null")
     summed = placed.join(features, "key").groupBy("cluster", "label").agg(F.sum(F.round("weight", 9)).alias("weight"))
     centres = summed.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), "label"))).where(F.col("r") <= top).drop("r")
     new = features.join(placed.select("key"), "key", "left_anti")
-    return assign(cluster_scores(new, centres), quota, new, placed)
+    return assign(cluster_scores(new, centres), quota, new if items is None else items, placed)

@@ -185,20 +185,30 @@ def feature_softmax(spark, directory):
     return f.select("key", "label", F.round(similarity.softmax(F.col("weight"), "key"), 6).alias("share"))
 
 
+#: Words that a cluster takes at classification, and the least number of clusters.
+QUOTA, LEAST_CLUSTERS = 15, 20
+
+
+def _roots(e):
+    return e.select(F.col("parent").alias("key")).distinct().join(e.select(F.col("child").alias("key")), "key", "left_anti")
+
+
 def cluster_words(spark, directory):
-    """Linked headwords in clusters of equal capacity."""
-    linked = edges(spark, directory).select(F.col("child").alias("key")).distinct()
+    """Linked headwords in clusters of equal capacity, in as many clusters as the roots need at classification."""
+    e = edges(spark, directory)
+    linked = e.select(F.col("child").alias("key")).distinct()
     f = features.word_features(_relations(spark, directory).join(linked, "key", "left_semi"))
-    return features.cluster(features.prune_features(f, 40, 8.0), 20, items=linked)
+    count = max(LEAST_CLUSTERS, -(-_roots(e).count() // QUOTA))
+    return features.cluster(features.prune_features(f, 40, 8.0), count, items=linked)
 
 
 def classify_words(spark, directory):
-    """Roots put to the clusters of the words below them."""
+    """Roots put to the clusters of cluster_words."""
     e = edges(spark, directory)
     f = cut(features.word_features(_relations(spark, directory)))
-    members = cut(e.groupBy(F.col("child").alias("key")).agg(F.min("parent").alias("p")).select("key", F.pmod(F.xxhash64("p"), F.lit(20)).cast("int").alias("cluster")))
-    roots = e.select(F.col("parent").alias("key")).distinct().join(members, "key", "left_anti")
-    return features.classify(members, f.join(roots.unionByName(members.select("key")), "key", "left_semi"))
+    members = cluster_words(spark, directory)
+    roots = _roots(e)
+    return features.classify(members, f.join(roots.unionByName(members.select("key")), "key", "left_semi"), QUOTA, items=roots)
 
 
 def age_of_acquisition(spark, directory):

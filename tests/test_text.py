@@ -220,6 +220,17 @@ def test_items_without_scores_fill_free_places(spark):
     assert {r.key: r.cluster for r in features.assign(scores, 2, items).collect()} == {"a": 0, "b": 0, "c": None, "d": None, "e": None, "f": None}
 
 
+def test_every_root_is_classified(spark, tmp_path, monkeypatch):
+    links = [(f"child{i}", f"root{i}") for i in range(330)]
+    monkeypatch.setattr(text_queries, "edges", lambda s, d: spark.createDataFrame(links, "child string, parent string"))
+    relation = [(k, "word", 0, k) for pair in links for k in pair] + [(c, "parent", 0, p) for c, p in links] + [(p, "child", 0, c) for c, p in links]
+    monkeypatch.setattr(text_queries, "_relations", lambda s, d: spark.createDataFrame(relation, "key string, kind string, place int, label string"))
+    monkeypatch.setattr(features, "cluster", lambda f, count, items: items.select("key", F.pmod(F.xxhash64("key"), F.lit(count)).cast("int").alias("cluster")))
+    got = {r.key: r.cluster for r in text_queries.classify_words(spark, str(tmp_path)).collect()}
+    assert set(got) == {p for _, p in links} and None not in got.values()
+    assert max(list(got.values()).count(c) for c in got.values()) <= 15
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert corpus.ngram_counts(none).count() == 0 and tuple(corpus.totals(none).first()) == (0, 0, 0)
