@@ -137,6 +137,16 @@ def test_leaks(spark):
     assert leak.find_leaks(d.limit(0), i).count() == 0 and leak.find_leaks(d, i.limit(0)).count() == 0
 
 
+def test_leaks_with_unseen_names_and_units(spark):
+    item = "On a long road near the old mill Alice walked about 12 miles before the sun went down again"
+    far = "we saw a red kite over seven green hills and then nobody spoke until it was gone from sight"
+    docs = [(1, item.replace("Alice", "Zoltan")), (2, item.replace("miles", "km")), (3, item.replace("Alice", "Zoltan").replace("miles", "km").replace("12", "31")), (4, item), (5, item.replace("mill", "barn"))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(1, item), (2, far)], "item_id long, text string")
+    for block in (1_000_000, 20):
+        assert {tuple(r) for r in leak.find_leaks(d, i, window=13, exchanged=True, block_words=block).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def shared(texts, least):
     where = {}
     for i, t in texts:
