@@ -21,7 +21,7 @@ def p1_found(spark: SparkSession, directory: str) -> DataFrame:
 
 def _plain(column: str) -> Column:
     """Letter case and outer blanks aside."""
-    return F.lower(F.regexp_replace(column, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    return F.lower(F.regexp_replace(column, r"^[\s\p{Z}\p{C}]+|[\s\p{Z}\p{C}]+$", ""))
 
 
 def survivors(records: DataFrame, trusts: DataFrame, how: str = "precedence") -> DataFrame:

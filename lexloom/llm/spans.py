@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import cut
+from ..runtime import clustered, cut
 
 MIN_LENGTH = 200
 ANCHOR = 80
@@ -267,7 +267,7 @@ def shared_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     around = cut(around)
     few = around.where(F.col("classes") <= paired).select("anchor", "class", "first", "last", "before", "after")
-    extended = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_extend_all(least, anchor), "anchor bigint, class bigint, left int, right int")
+    extended = clustered(few, "anchor").mapInArrow(_extend_all(least, anchor), "anchor bigint, class bigint, left int, right int")
     many = _by_windows(around.where(F.col("classes") > paired), least, anchor)
 
     whole = known.where("shared").select("anchor", "class", F.lit(least - anchor).alias("left"), F.lit(least).alias("right"))
