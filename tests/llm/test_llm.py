@@ -86,6 +86,24 @@ def test_consensus_by_votes(spark):
     assert consensus.consensus(candidates(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("how", ["sum", "precedence"])
+def test_consensus_is_the_same_at_every_size(spark, how):
+    rng = random.Random(4)
+    rows = [(g, "f", " ".join(rng.choice("abcdef") for _ in range(rng.randint(1, 6))), rng.randint(0, 3), rng.choice([None, "2021"]), g * 1000 + i) for g in range(5) for i in range(60)]
+    found = [{r.group_id: r.survivor for r in consensus.consensus(candidates(spark, rows), how, part).collect()} for part in (400, 2)]
+    assert found[0] == found[1] and len(found[0]) == 5
+
+
+def test_consensus_keeps_groups_whole_under_adaptive_joins(spark):
+    rng = random.Random(5)
+    rows = [(g, f, f"{rng.randint(0, 9)} x", rng.randint(0, 9), f"20{rng.randint(10, 20)}", g * 10 + i) for g in range(4000) for f in ("a", "b") for i in range(3)]
+    want = {}
+    for g, f, _, trust, stamp, i in rows:
+        want[g, f] = max(want.get((g, f), (-1, "", -1)), (trust, stamp, i))
+    got = {(r.group_id, r.field): r.survivor for r in consensus.consensus(candidates(spark, rows).repartition(4)).collect()}
+    assert got == {k: v[2] for k, v in want.items()}
+
+
 def test_survivors(spark):
     records = [
         (1, "Cat", " WN", "Noun", "old", "-", None, "2021-01-01"), (2, "cаt", "we", "noun ", "new", "kat", "…", "2022-01-01"), (3, "c·at", None, "noun", "", None, "猫", None),
