@@ -1,11 +1,12 @@
 """Long spans that stand verbatim in more than one record: seed and extend.
 
 Seeds are winnowed anchors: of every stretch of MIN_LENGTH characters at least one k-gram is chosen, by its content alone, so a
-shared span has an anchor in both records. Occurrences of an anchor are classed by the text around it, as far as a span of the
-least length that holds the anchor can reach. A class with two records is shared as it stands. Of the others only one
-representative of each class is compared, and only with classes of its own anchor: its text is extended both ways. Anchors with
-very many classes are decided exactly by the windows that hold them, dealt over all tasks. What is found for a class holds for
-each of its occurrences; a record's shared characters are the union over its anchors.
+shared span has an anchor in both records. Most anchors stand in one record only: their hashes alone are counted first, the
+repeated ones make a bitmap of bounded size, and only seeds that pass it are made with place and class. Occurrences of an anchor
+are classed by the text around it, as far as a span of the least length that holds the anchor can reach. A class with two records
+is shared as it stands. Of the others only one representative of each class is compared, and only with classes of its own anchor:
+its text is extended both ways. Anchors with very many classes are decided exactly by the windows that hold them, dealt over all
+tasks. What is found for a class holds for each of its occurrences; a record's shared characters are the union over its anchors.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import clustered, cut
+from ..runtime import BROADCAST_ROWS, clustered, cut
 
 MIN_LENGTH = 200
 ANCHOR = 80
@@ -25,6 +26,8 @@ ANCHOR = 80
 PAIRED_CLASSES = 200
 #: Characters worked on at once.
 CHUNK = 1 << 17
+#: Bits of a sieve: sixteen for each hash, up to this bound. A fuller sieve lets more pass that the exact joins leave out.
+MOST_BITS = 1 << 27
 
 _U = np.uint64
 _MULTIPLIER = _U(0x9E3779B97F4A7C15)
@@ -137,31 +140,89 @@ def _long_text(text: str, least: int, k: int) -> tuple[np.ndarray, np.ndarray, n
     return np.concatenate(places), np.concatenate(anchors), np.concatenate(classes)
 
 
-def _anchors(least: int, k: int):
+class Sieve:
+    """A bitmap of 64-bit hashes: what is in it passes, and little else does."""
+
+    TRIES = 4
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+
+    @classmethod
+    def of(cls, hashes: DataFrame, column: str, most_bits: int = MOST_BITS) -> Sieve:
+        """From a materialised frame; only the bitmap comes to the driver, put together by the executors."""
+        bits = min(most_bits, 1 << max(16, (16 * hashes.count()).bit_length()))
+        low, high = F.col(column).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(column, 32)
+        at = F.explode(F.array(*((low + high * n).bitwiseAND(F.lit(bits - 1)) for n in range(cls.TRIES)))).alias("at")
+        put = hashes.select(at).groupBy(F.shiftright("at", 6).alias("word"))
+        rows = put.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toPandas()
+        words = np.zeros(bits >> 6, _U)
+        words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(_U)
+        return cls(words)
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        x = hashes.view(_U)
+        low, high, last = x & _U(0xFFFFFFFF), x >> _U(32), _U((len(self.words) << 6) - 1)
+        ok = np.ones(len(x), bool)
+        for n in range(self.TRIES):
+            at = (low + high * _U(n)) & last
+            ok &= (self.words[at >> _U(6)] >> (at & _U(63)) & _U(1)).astype(bool)
+        return ok
+
+
+def _located(texts: list[str], least: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Text number, place, anchor hash and class hash of all anchors, some texts at a time."""
+    for group in _groups(texts, CHUNK):
+        if len(group) == 1 and len(texts[group[0]]) > CHUNK:
+            place, anchor, kind = _long_text(texts[group[0]], least, k)
+            number = np.zeros(len(place), np.int64)
+        else:
+            bounds = np.cumsum([0, *(len(texts[i]) for i in group)])
+            number, place, anchor, kind = winnow(points_of("".join(texts[i] for i in group)), bounds, least, k)
+        yield np.array(group, np.int64)[number], place, anchor, kind
+
+
+def _hashes(least: int, k: int):
+    """The distinct anchors of each text, without anything else."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, _, anchor, _ in _located(batch.column(0).to_pylist(), least, k):
+                order = np.lexsort((anchor, row))
+                row, anchor = row[order], anchor[order]
+                fresh = np.ones(len(row), bool)
+                fresh[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[fresh])], names=["anchor"])
+
+    return run
+
+
+def _seeds(least: int, k: int, sieve):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sieve.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            rows, places, anchors, classes = [], [], [], []
-            for group in _groups(texts, CHUNK):
-                if len(group) == 1 and len(texts[group[0]]) > CHUNK:
-                    place, anchor, kind = _long_text(texts[group[0]], least, k)
-                    number = np.zeros(len(place), np.int64)
-                else:
-                    bounds = np.cumsum([0, *(len(texts[i]) for i in group)])
-                    number, place, anchor, kind = winnow(points_of("".join(texts[i] for i in group)), bounds, least, k)
-                rows.append(np.array(group, np.int64)[number])
-                places.append(place)
-                anchors.append(anchor)
-                classes.append(kind)
-            if rows:
+            sizes = np.array([len(t) for t in texts], np.int64)
+            for row, place, anchor, kind in _located(texts, least, k):
+                keep = wanted.passes(anchor)
+                row = row[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(anchors)), pa.array(np.concatenate(classes))],
-                    names=["doc", "pos", "anchor", "class"],
+                    [batch.column(0).take(pa.array(row)), pa.array(place[keep].astype(np.int32)), pa.array(sizes[row].astype(np.int32)), pa.array(anchor[keep]), pa.array(kind[keep])],
+                    names=["doc", "pos", "n", "anchor", "class"],
                 )
 
     return run
 
 
+def _wanted_texts(sieve):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = sieve.value.passes(batch.column(2).to_numpy())
+            yield batch.select(["doc", "text"]).filter(pa.array(keep))
+
+    return run
+
+
 def common_prefix(a: str, b: str) -> int:
     low, high = 0, min(len(a), len(b))
     while low < high:
@@ -239,16 +300,22 @@ def _surroundings(least: int, k: int):
     return run
 
 
-def shared_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LENGTH, anchor: int = ANCHOR, paired: int = PAIRED_CLASSES) -> DataFrame:
+def shared_spans(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LENGTH, anchor: int = ANCHOR, paired: int = PAIRED_CLASSES,
+    held: int = BROADCAST_ROWS, most_bits: int = MOST_BITS,
+) -> DataFrame:
     """For each document with a span of at least `least` characters that stands verbatim in another: the id, n_shared.
 
     n_shared counts the code points that lie in such spans, each once. Null, empty and shorter texts have none; copies of a
     text under another id share all of it; a span that only one document repeats is not shared. Ids must be unique. Other
-    columns are ignored, whatever their names. A text of any length is worked through in overlapping stretches.
+    columns are ignored, whatever their names. A text of any length is worked through in overlapping stretches. Texts whose
+    surroundings are compared are found by a broadcast of at most `held` places, beyond it by a sieve and a join.
     """
-    kind = documents.schema[id_col].dataType.simpleString()
+    spark, kind = documents.sparkSession, documents.schema[id_col].dataType.simpleString()
     source = documents.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where(F.char_length("text") >= least)
-    seeds = cut(source.mapInArrow(_anchors(least, anchor), f"doc {kind}, pos int, anchor bigint, class bigint"))
+    repeated = cut(source.select("text").mapInArrow(_hashes(least, anchor), "anchor bigint").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    sieve = spark.sparkContext.broadcast(Sieve.of(repeated, "anchor", most_bits))
+    seeds = cut(source.mapInArrow(_seeds(least, anchor, sieve), f"doc {kind}, pos int, n int, anchor bigint, class bigint"))
 
     classes = seeds.groupBy("anchor", "class").agg(F.min(F.struct("doc", "pos")).alias("at"), F.max("doc").alias("last"))
     classes = classes.select("anchor", "class", F.col("at.doc").alias("first"), F.col("at.pos").alias("pos"), "last", (F.col("at.doc") != F.col("last")).alias("shared"))
@@ -261,20 +328,23 @@ def shared_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     known = cut(classes.join(by_anchor, "anchor"))
 
     lone = known.where("classes > 1 and not all_shared")
-    wanted = lone.groupBy(F.col("first").alias("doc")).agg(F.collect_list(F.struct("anchor", "class", "pos", "first", "last", "classes")).alias("members"))
-    around = source.join(wanted, "doc").select("text", "members").mapInArrow(
+    wanted = cut(lone.groupBy(F.col("first").alias("doc")).agg(F.collect_list(F.struct("anchor", "class", "pos", "first", "last", "classes")).alias("members")))
+    if (wanted.agg(F.sum(F.size("members"))).first()[0] or 0) <= held:
+        near = source.join(F.broadcast(wanted), "doc")
+    else:
+        docs = spark.sparkContext.broadcast(Sieve.of(wanted.select(F.xxhash64("doc").alias("hash")), "hash", most_bits))
+        near = source.select("doc", "text", F.xxhash64("doc").alias("hash")).mapInArrow(_wanted_texts(docs), f"doc {kind}, text string").join(wanted, "doc")
+    around = cut(near.select("text", "members").mapInArrow(
         _surroundings(least, anchor), f"anchor bigint, class bigint, first {kind}, last {kind}, before string, after string, classes bigint"
-    )
-    around = cut(around)
+    ))
     few = around.where(F.col("classes") <= paired).select("anchor", "class", "first", "last", "before", "after")
     extended = clustered(few, "anchor").mapInArrow(_extend_all(least, anchor), "anchor bigint, class bigint, left int, right int")
     many = _by_windows(around.where(F.col("classes") > paired), least, anchor)
 
     whole = known.where("shared").select("anchor", "class", F.lit(least - anchor).alias("left"), F.lit(least).alias("right"))
     reach = whole.unionByName(extended).unionByName(many)
-    lengths = source.select("doc", F.char_length("text").alias("n"))
-    found = seeds.join(reach, ["anchor", "class"]).select("doc", F.greatest(F.col("pos") - F.col("left"), F.lit(0)).alias("a"), (F.col("pos") + F.col("right")).alias("b"))
-    return _covered(found, lengths).withColumnRenamed("doc", id_col)
+    found = seeds.join(reach, ["anchor", "class"]).select("doc", "n", F.greatest(F.col("pos") - F.col("left"), F.lit(0)).alias("a"), (F.col("pos") + F.col("right")).alias("b"))
+    return _covered(found).withColumnRenamed("doc", id_col)
 
 
 def _by_windows(around: DataFrame, least: int, k: int) -> DataFrame:
@@ -291,9 +361,9 @@ def _by_windows(around: DataFrame, least: int, k: int) -> DataFrame:
     return windows.where("first = last").join(shared, "digest").select("anchor", "class", "left", (F.lit(least) - F.col("left")).cast("int").alias("right"))
 
 
-def _covered(found: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Number of characters in the union of each document's stretches [a, b), cut at its end."""
-    merged = found.groupBy("doc", "a").agg(F.max("b").alias("b"))
+def _covered(found: DataFrame) -> DataFrame:
+    """Number of characters in the union of each document's stretches [a, b), cut at its end n."""
+    merged = found.groupBy("doc", "a").agg(F.max(F.least("b", "n")).alias("b"))
     before = Window.partitionBy("doc").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = merged.join(lengths, "doc").withColumn("b", F.least("b", "n")).withColumn("seen", F.coalesce(F.max("b").over(before), F.lit(0)))
+    fresh = merged.withColumn("seen", F.coalesce(F.max("b").over(before), F.lit(0)))
     return fresh.groupBy("doc").agg(F.sum(F.greatest(F.col("b") - F.greatest("a", "seen"), F.lit(0))).cast("bigint").alias("n_shared"))

@@ -181,15 +181,15 @@ def shared(texts, least):
     return out
 
 
-@pytest.mark.parametrize("paired", [200, 1])
-def test_shared_spans(spark, paired):
+@pytest.mark.parametrize(("paired", "held", "bits"), [(200, 1000, 1 << 20), (1, 1000, 1 << 20), (200, 0, 1 << 20), (200, 0, 64)])
+def test_shared_spans(spark, paired, held, bits):
     rng = random.Random(7)
     fresh = lambda n: "".join(rng.choice("abcdeéガ日 ") for _ in range(n))
     passage, other = fresh(90), fresh(60)
     texts = [(i, fresh(rng.randint(0, 80)) + passage[rng.randint(0, 30) : rng.randint(60, 90)] + fresh(rng.randint(0, 60))) for i in range(12)]
     texts += [(20, fresh(30) + other + fresh(10) + other), (21, other), (22, "a" * 300), (23, "a" * 150), (24, None), (25, ""), (26, "😀" + passage), (27, "😀" + passage), (28, fresh(400)), (29, passage + passage)]
     df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("pos", F.lit("clash"))
-    got = {r.doc_id: r.n_shared for r in spans.shared_spans(df, least=40, anchor=16, paired=paired).collect()}
+    got = {r.doc_id: r.n_shared for r in spans.shared_spans(df, least=40, anchor=16, paired=paired, held=held, most_bits=bits).collect()}
     assert got == shared(texts, 40)
     assert spans.shared_spans(df.limit(0)).count() == 0
 
@@ -202,6 +202,14 @@ def test_long_texts_are_worked_in_stretches(spark, monkeypatch):
     assert {r.doc_id: r.n_shared for r in spans.shared_spans(df).collect()} == {1: 300, 2: 300}
 
 
+def test_sieve(spark):
+    rng = random.Random(1)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(3000)]
+    sieve = spans.Sieve.of(spark.createDataFrame([(h,) for h in hashes[:1000]], "h long"), "h")
+    passed = sieve.passes(spans.np.array(hashes, spans.np.int64))
+    assert passed[:1000].all() and passed[1000:].mean() < 0.02
+
+
 def test_winnowing_leaves_no_gap():
     rng = random.Random(4)
     text = "".join(rng.choice("abc") for _ in range(3000))
