@@ -5,8 +5,11 @@ from __future__ import annotations
 import unicodedata
 from functools import cache, reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # English stop words.
 STOP_WORDS = (
@@ -18,10 +21,14 @@ HIRAGANA = "あいうえおかきくけこさしすせそたちつてとなに
 KATAKANA = "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワヲンァィゥェォャュョッガギグゲゴザジズゼゾダヂヅデドバビブベボパピプペポヴ"
 # Weights of words by kind.
 NUMERIC_WEIGHT, STOP_WEIGHT = 0.2, 0.5
-# Spellings of quotes and dashes, and the plain form of each.
-PLAIN_SIGNS = (("[‘’´`]", "'"), ("[“”]", '"'), ("[‐‑–—―−]", "-"))
+# Code points of quotes and dashes, and the plain form of each.
+PLAIN_SIGNS = (
+    (r"[\x{2018}\x{2019}\x{201A}\x{201B}\x{2758}\x{275B}\x{275C}\x{275F}\x{FF02}]", "'"),
+    (r"[\x{201C}-\x{201F}]", '"'),
+    (r"[\x{AD}\x{2D7}\x{2010}-\x{2015}\x{2043}\x{2212}\x{2796}\x{2E3A}\x{2E3B}\x{FE58}\x{FE63}\x{FF0D}]", "-"),
+)
 # Suffixes that differ between British and American spelling, either way.
-SPELLING_SUFFIXES = (("our", "or"), ("ise", "ize"), ("isation", "ization"), ("yse", "yze"), ("re", "er"), ("ogue", "og"), ("ence", "ense"), ("elled", "eled"), ("elling", "eling"), ("ae", "e"))
+SPELLING_SUFFIXES = (("se", "ze"), ("sing", "zing"), ("sed", "zed"), ("ser", "zer"), ("sation", "zation"), ("ce", "se"), ("our", "or"), ("og", "ogue"), ("re", "er"), ("l", "ll"))
 
 SPACES = r"[\s\x0b\p{Z}]+"
 JAPANESE = r"[\p{Hiragana}\p{Katakana}ー\p{Han}]"
@@ -29,7 +36,7 @@ JAPANESE = r"[\p{Hiragana}\p{Katakana}ー\p{Han}]"
 
 def java(pattern: str) -> str:
     """A pattern with Unicode scripts named as Java names them."""
-    for script in ("Latin", "Han", "Hiragana", "Katakana"):
+    for script in ("Latin", "Han", "Hiragana", "Katakana", "Common", "Cyrillic", "Greek", "Runic", "Hangul"):
         pattern = pattern.replace(f"\\p{{{script}}}", f"\\p{{Is{script}}}")
     return pattern
 
@@ -64,9 +71,25 @@ def normalize_word(column: Column) -> Column:
     return F.trim(strip_accents(F.lower(sub(sub(column, SPACES, " "), "[・·]+"))))
 
 
+def plain_signs(column: Column) -> Column:
+    """Quotes and dashes in plain spelling."""
+    return reduce(lambda c, rule: sub(c, *rule), PLAIN_SIGNS, column)
+
+
+@pandas_udf(StringType())
+def nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility forms composed; the JVM has no built-in function for it."""
+    return texts.map(lambda x: x if x.isascii() else unicodedata.normalize("NFKC", x), na_action="ignore")
+
+
 def normalize_text(column: Column) -> Column:
-    """Quotes and dashes in plain spelling, blanks collapsed."""
-    return trim(sub(reduce(lambda c, rule: sub(c, *rule), PLAIN_SIGNS, column), SPACES, " "))
+    """Compatibility forms composed, quotes and dashes in plain spelling."""
+    return plain_signs(nfkc(column))
+
+
+def collapse(column: Column) -> Column:
+    """Blanks and control characters as single spaces, none outside."""
+    return F.trim(sub(column, r"[\p{Z}\p{C}]+", " "))
 
 
 def is_numeric(word: Column) -> Column:
@@ -161,9 +184,43 @@ def cut_width(text: Column, width: int) -> Column:
 
 
 def sentence_key(text: Column) -> Column:
-    """A sentence as one hash character per word, so that edit distance counts words."""
-    words = F.filter(F.split(sub(F.lower(text), r"[^\p{Latin}]+", " "), " "), lambda w: w != "")
-    return F.array_join(F.transform(words, lambda w: F.chr(F.lit(0x21) + F.pmod(F.xxhash64(w), F.lit(222)))), "")
+    """A sentence as one character per word, by a hash over 55,294 code points, so that edit distance counts words."""
+    words = F.filter(F.split(sub(F.lower(text), r"[^ \p{Latin}]+"), " "), lambda w: w != "")
+    code = lambda w: F.pmod(F.xxhash64(w), F.lit(0xD7FE)) + 1
+    return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(code(w)), 4, "0")), "UTF-16BE")), "")
+
+
+def clean_sentence(text: Column) -> Column:
+    """A sentence without bullets before it, blanks collapsed."""
+    return trim(sub(sub(trim(text), "^[・*-]+ *"), SPACES, " "))
+
+
+def word_id(word: Column) -> Column:
+    """A word as an identifier: blanks as underscores, other signs percent-encoded with a tilde in place of the percent sign."""
+    quoted = F.replace(F.replace(F.url_encode(F.replace(word, F.lit(" "), F.lit("_"))), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    return F.replace(F.replace(F.replace(quoted, F.lit("%7E"), F.lit("~")), F.lit("%2F"), F.lit("/")), F.lit("%"), F.lit("~"))
+
+
+def key_prefix(key: Column) -> Column:
+    """The first letter of a key, '_' for anything but a small Latin letter."""
+    first = F.substring(key, 1, 1)
+    return F.when(first.rlike("^[a-z]$"), first).otherwise("_")
+
+
+# Characters that any reader shows, and signs that markup doesn't bear.
+UNSAFE_TEXT, UNSAFE_SIGNS = r"[^\x20-\x7F\p{Han}\p{Hiragana}\p{Katakana}ー・、。々]", r"[\\{}`]"
+# Fixed value: what is in none of the scripts that readers have letters for.
+FOREIGN_SCRIPT = r"[^\s\p{Common}\p{Latin}\p{Cyrillic}\p{Greek}\p{Runic}\p{Han}\p{Hangul}\p{Hiragana}\p{Katakana}ー]"
+
+
+def is_safe_text(text: Column) -> Column:
+    return ~text.rlike(java(UNSAFE_TEXT)) & ~text.rlike(UNSAFE_SIGNS)
+
+
+def sanitize(text: Column) -> Column:
+    """Characters of rare scripts and beyond the basic plane as boxes, blanks and control characters collapsed."""
+    boxed = sub(sub(text, FOREIGN_SCRIPT, "□"), r"[^\x{0}-\x{FFFF}]", "□")
+    return trim(sub(boxed, r"[\s\p{C}]+", " "))
 
 
 def extract_translations(text: Column) -> Column:

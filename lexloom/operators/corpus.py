@@ -1,17 +1,22 @@
 """Corpus statistics: n-gram, word and co-occurrence counts, probabilities and association scores.
 
 All counts are exact sums over the whole corpus with partial aggregation before each shuffle. Totals are one-row frames that are
-joined by cross join with a single row.
+joined by cross join with a single row. Sentences are tokenised once (`sentence_tokens`, materialised by callers that read it
+more than once) and counted from there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import word_weight
-from ..runtime import work_partitions
-from .tokenize import document_sentences, ngrams, tokens
+from ..functions.text import normalize_word, word_weight
+from ..runtime import bounded, cut, work_partitions
+from .tokenize import document_sentences, ngrams, sentences, tokens
 
 # Reach of a co-occurrence window, decay by distance and over sentences, scale and exponents of scores.
 WINDOW, DECAY, OTHER_SENTENCE, SCALE = 20, 0.95, 0.5, 1000
@@ -32,12 +37,22 @@ def sentence_tokens(documents: DataFrame, lowering: bool) -> DataFrame:
     return found.where(F.size("words") > 0)
 
 
-def totals(documents: DataFrame) -> DataFrame:
-    """One row: n_docs (with a token), n_sentences, n_words."""
-    by_doc = sentence_tokens(documents, False).groupBy("doc_id").agg(F.count("*").alias("s"), F.sum(F.size("words")).alias("w"))
+def lowered(sentences: DataFrame) -> DataFrame:
+    """The same sentences with their words in key form."""
+    return sentences.withColumn("words", F.transform("words", normalize_word))
+
+
+def totals(sentences: DataFrame) -> DataFrame:
+    """One row: n_docs (with a token), n_sentences, n_words, of tokenised sentences."""
+    by_doc = sentences.groupBy("doc_id").agg(F.count("*").alias("s"), F.sum(F.size("words")).alias("w"))
     return by_doc.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("s"), F.lit(0)).alias("n_sentences"), F.coalesce(F.sum("w"), F.lit(0)).alias("n_words"))
 
 
+def sentence_total(sentences: DataFrame) -> DataFrame:
+    """One row: n_sentences."""
+    return sentences.agg(F.count("*").alias("n_sentences"))
+
+
 def sentence_phrases(words: Column, longest: int = 3) -> Column:
     """The set of 1..longest-grams of a sentence; a capitalised head word counts in lower case as well."""
     head = F.element_at(words, 1)
@@ -47,9 +62,9 @@ def sentence_phrases(words: Column, longest: int = 3) -> Column:
     return F.array_distinct(F.concat(ngrams(words, longest), extra))
 
 
-def ngram_counts(documents: DataFrame, longest: int = 3) -> DataFrame:
-    """phrase, cnt: in how many sentences each phrase stands."""
-    return sentence_tokens(documents, False).select(F.explode(sentence_phrases(F.col("words"), longest)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("cnt"))
+def ngram_counts(sentences: DataFrame, longest: int = 3) -> DataFrame:
+    """phrase, cnt: in how many tokenised sentences each phrase stands."""
+    return sentences.select(F.explode(sentence_phrases(F.col("words"), longest)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("cnt"))
 
 
 def phrase_probs(counts: DataFrame, n_sentences: DataFrame) -> DataFrame:
@@ -67,9 +82,9 @@ def back_off(phrases: DataFrame, probs: DataFrame) -> DataFrame:
     The whole phrase counts if it has at most three tokens and is known; else the harmonic mean over all its n-grams, for the
     largest n of which all are known, times 0.3 for each token left over and 0.1 for each n that failed; 1e-9 at least.
     """
-    cut = phrases.select("phrase").distinct().withColumn("w", tokens(F.col("phrase")))
+    parts = phrases.select("phrase").distinct().withColumn("w", tokens(F.col("phrase")))
     n_tokens = F.size("w")
-    wanted = cut.select("phrase", n_tokens.alias("len"), F.explode(F.sequence(F.lit(1), F.least(F.greatest(n_tokens, F.lit(1)), F.lit(3)))).alias("n"), "w").where("len > 0")
+    wanted = parts.select("phrase", n_tokens.alias("len"), F.explode(F.sequence(F.lit(1), F.least(F.greatest(n_tokens, F.lit(1)), F.lit(3)))).alias("n"), "w").where("len > 0")
     grams = wanted.select("phrase", "len", "n", F.explode(F.transform(F.sequence(F.lit(1), F.col("len") - F.col("n") + 1), lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))).alias("gram"))
     known = probs.select(F.col("phrase").alias("gram"), "prob")
     levels = (
@@ -81,45 +96,98 @@ def back_off(phrases: DataFrame, probs: DataFrame) -> DataFrame:
     failed = F.least("len", F.lit(3)) - F.col("n")
     value = F.col("hits") / F.col("inverse") * F.pow(F.lit(SHORTER), F.col("len") - F.col("n")) * F.pow(F.lit(FALLBACK), failed)
     best = levels.groupBy("phrase").agg(F.max_by(value, "n").alias("prob"))
-    return cut.select("phrase").join(best, "phrase", "left").select("phrase", F.greatest(F.coalesce("prob", F.lit(0.0)), F.lit(FLOOR)).alias("prob"))
-
-
-def flat_words(documents: DataFrame) -> DataFrame:
-    """doc_id and words array<struct<word, sent, first>> in document order, in key form; first: the word's first place in its sentence."""
-    found = sentence_tokens(documents, True).select("doc_id", "sent_id", "words")
-    marked = F.transform("words", lambda w, i: F.struct(w.alias("word"), F.col("sent_id").alias("sent"), (F.array_position("words", w) == i + 1).alias("first")))
-    ordered = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sent_id", marked.alias("words")))).alias("s"))
-    return ordered.select("doc_id", F.filter(F.flatten(F.transform("s", lambda s: s["words"])), lambda x: x["word"] != "").alias("words"))
-
-
-def word_counts(documents: DataFrame) -> DataFrame:
-    """word, cnt: in how many sentences each word in key form stands."""
-    found = sentence_tokens(documents, True)
-    return found.select(F.explode(F.array_distinct("words")).alias("word")).where("word != ''").groupBy("word").agg(F.count("*").alias("cnt"))
-
-
-def cooccurrences(documents: DataFrame, counts: DataFrame, least_word: int = 16) -> DataFrame:
+    return parts.select("phrase").join(best, "phrase", "left").select("phrase", F.greatest(F.coalesce("prob", F.lit(0.0)), F.lit(FLOOR)).alias("prob"))
+
+
+def word_counts(sentences: DataFrame) -> DataFrame:
+    """word, cnt: in how many tokenised sentences (words in key form) each word stands."""
+    return sentences.select(F.explode(F.array_distinct("words")).alias("word")).where("word != ''").groupBy("word").agg(F.count("*").alias("cnt"))
+
+
+#: Words whose pairs are made at once: what a task holds of them grows with this alone.
+CHUNK_WORDS = 100_000
+_DECAYED = np.array([[0, *(int(SCALE * DECAY ** (d - 1) * w) for d in range(1, WINDOW + 1))] for w in (1.0, OTHER_SENTENCE)], np.int64)
+
+
+def _pair_sums(words: np.ndarray, sent: np.ndarray, first: np.ndarray, doc: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """word, other word, score: sums over the anchors (`first`) of documents laid end to end, the best score of each other word counting."""
+    keys, scores = [], []
+    for d in range(1, min(WINDOW, len(words) - 1) + 1):
+        score = np.where(sent[d:] == sent[:-d], _DECAYED[0][d], _DECAYED[1][d])
+        near = (doc[d:] == doc[:-d]) & (words[d:] != words[:-d])
+        for anchor, other in ((slice(None, -d), slice(d, None)), (slice(d, None), slice(None, -d))):
+            at = np.flatnonzero(near & first[anchor])
+            keys.append((at + (anchor.start or 0)) * n_words + words[other][at])
+            scores.append(score[at])
+    if not keys:
+        none = np.empty(0, np.int64)
+        return none, none, none
+    key, score = np.concatenate(keys), np.concatenate(scores)
+    ranked = np.sort(key * (SCALE + 1) + (SCALE - score))  # the best score of each anchor and word comes first
+    key, score = ranked // (SCALE + 1), SCALE - ranked % (SCALE + 1)
+    best = np.concatenate([[True], key[1:] != key[:-1]])
+    key, score = key[best], score[best]
+    pair, place = np.unique(words[key // n_words] * n_words + key % n_words, return_inverse=True)
+    return pair // n_words, pair % n_words, np.bincount(place, score).astype(np.int64)
+
+
+def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (array of sentences, each an array of words) to word, cooc, score, summed for some documents at a time."""
+
+    def close(held: list) -> pa.RecordBatch:
+        code: dict[str, int] = {}
+        words, sent, first, doc = [], [], [], []
+        for n, sentences in enumerate(held):
+            for number, sentence in enumerate(sentences):
+                seen = set()
+                for word in sentence:
+                    if word:
+                        words.append(code.setdefault(word, len(code)))
+                        sent.append(number)
+                        doc.append(n)
+                        first.append(word not in seen)
+                        seen.add(word)
+        a, b, score = _pair_sums(np.array(words, np.int64), np.array(sent), np.array(first, bool), np.array(doc), max(len(code), 1))
+        names = pa.array(list(code), pa.string())
+        return pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b)), pa.array(score)], names=["word", "cooc", "score"])
+
+    held, size = [], 0
+    for batch in batches:
+        for sentences in batch.column(0).to_pylist():
+            n = sum(map(len, sentences))
+            if held and size + n > CHUNK_WORDS:
+                yield close(held)
+                held, size = [], 0
+            held.append(sentences)
+            size += n
+    if held:
+        yield close(held)
+
+
+def document_words(documents: DataFrame) -> DataFrame:
+    """doc_id, sentences array<array<string>> of documents, words in key form; a document's sentences never leave its row."""
+    of = F.transform(sentences(F.col("text")), lambda s: tokens(s, True))
+    return documents.select("doc_id", F.filter(of, lambda w: F.size(w) > 0).alias("sentences")).where(F.size("sentences") > 0)
+
+
+def each_sentence(word_lists: DataFrame) -> DataFrame:
+    """doc_id, sent_id, words of `document_words`."""
+    return word_lists.select("doc_id", F.posexplode("sentences").alias("sent_id", "words"))
+
+
+def cooccurrences(word_lists: DataFrame, counts: DataFrame, least_word: int = 16) -> DataFrame:
     """word, cooc, score: the decayed co-occurrence sums of the words that reach `least_word` weighted sentences.
 
     The anchor of a word is its first place in a sentence; around it the best score of each other word within 20 places counts.
-    Scores are cut to whole thousandths before they are summed, so sums are exact. Rare words go before pairs are made, after
-    places are given. Documents are dealt out once; the pairs of an anchor meet where they were made, without another shuffle.
+    Scores are cut to whole thousandths before they are summed, so sums are exact. word_lists: see `document_words`; counts:
+    materialised. Pairs are made and summed some documents at a time where the documents lie, over Arrow batches, and only sums are
+    shuffled. A document of more than CHUNK_WORDS words is worked on whole. Rare words keep their places while pairs are made.
     """
-    frequent = counts.where(F.col("cnt") * word_weight(F.col("word")) >= least_word).select("word")
-    flat = flat_words(documents).select("doc_id", F.posexplode("words").alias("pos", "w")).select("doc_id", "pos", "w.word", "w.sent", "w.first")
-    # a number of parts of its own, for pairs are forty times the words that a small shuffle was sized by
-    kept = flat.join(frequent, "word").repartition(work_partitions(documents.sparkSession), "doc_id")
-    kept = kept.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "sent", "first"))).alias("ws"))
-    first = kept.select("doc_id", "ws", F.posexplode("ws").alias("i", "a"))
-    # in an array sorted by place, neighbours within reach are no further apart than in the document
-    near = F.slice("ws", F.greatest(F.col("i") - WINDOW, F.lit(0)) + 1, F.least(F.col("i"), F.lit(WINDOW)) + WINDOW + 1)
-    pairs = first.where("a.first").select("doc_id", F.col("a.pos").alias("pos"), F.col("a.word").alias("word"), F.col("a.sent").alias("sent"), F.explode(near).alias("b"))
-    distance = F.abs(F.col("b.pos") - F.col("pos"))
-    decayed = lambda weight: F.get(F.array(*(F.lit(int(SCALE * DECAY ** (d - 1) * weight)) for d in range(1, WINDOW + 1))), distance - 1)
-    score = F.when(F.col("b.sent") == F.col("sent"), decayed(1.0)).otherwise(decayed(OTHER_SENTENCE)).cast("bigint")
-    pairs = pairs.where((distance <= WINDOW) & (F.col("b.word") != F.col("word"))).select("doc_id", "pos", "word", F.col("b.word").alias("cooc"), score.alias("score"))
-    best = pairs.groupBy("doc_id", "pos", "word", "cooc").agg(F.max("score").alias("score"))
-    return best.groupBy("word", "cooc").agg(F.sum("score").alias("score"))
+    frequent = bounded(counts.where(F.col("cnt") * word_weight(F.col("word")) >= least_word).select("word"))
+    dealt = word_lists.select("sentences").repartition(work_partitions(word_lists.sparkSession))
+    pairs = dealt.mapInArrow(_pairs_of, "word string, cooc string, score bigint")
+    kept = pairs.join(frequent, "word").join(frequent.withColumnRenamed("word", "cooc"), "cooc")
+    return kept.groupBy("word", "cooc").agg(F.sum("score").alias("score"))
 
 
 def idf(prob: Column) -> Column:
@@ -196,7 +264,8 @@ def related_words(queries: DataFrame, table: DataFrame, trace: int = 32, check_c
 
 
 def pair_counts(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """From (domain, src, trg): in how many domains each source, target and pair stands."""
+    """From (domain, src, trg), each once: in how many domains each source, target and pair stands."""
+    pairs = cut(pairs)
     count = lambda *by: pairs.groupBy(*by).agg(F.countDistinct("domain").alias("cnt"))
     return count("src"), count("trg"), count("src", "trg")
 

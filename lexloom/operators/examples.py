@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import sentence_key, sub
+from ..runtime import bounded, cut
 from .tokenize import ngrams, tokens
 
 # The best lengths of a source and of its target sentence, in characters.
@@ -52,10 +53,10 @@ def rank_examples(pairs: DataFrame, exnum: DataFrame, ideal: int = 4) -> DataFra
 
 
 def deduplicate(pairs: DataFrame, *order: str) -> DataFrame:
-    """The first pair of each source, letters alone compared in one case."""
+    """The first pair of each source, letters alone compared in one case; copies go before the shuffle."""
     bare = sub(F.lower("source"), r"[^\p{Latin} ]+")
-    first = F.row_number().over(Window.partitionBy(bare).orderBy(*order))
-    return pairs.withColumn("_r", first).where("_r = 1").drop("_r")
+    rest = [c for c in pairs.columns if c not in order]
+    return pairs.groupBy(bare.alias("_k")).agg(F.min(F.struct(*order, *rest)).alias("_r")).select(*(F.col(f"_r.{c}").alias(c) for c in pairs.columns))
 
 
 def near_repeats(pairs: DataFrame, by: str, order: str, reach: int = 10, limit: float = 0.4) -> DataFrame:
@@ -68,7 +69,7 @@ def near_repeats(pairs: DataFrame, by: str, order: str, reach: int = 10, limit:
 
 
 def postings(sentences: DataFrame, probs: DataFrame, rarest: int = 50, sample: int = 100, longest: int = 3, seed: int = 19780211) -> DataFrame:
-    """phrase, n_total, ids: for each phrase the sentences that hold it, at most `sample` chosen by a seeded hash.
+    """phrase, n_total, ids: for each phrase the sentences that hold it, at most `sample` chosen by a seeded digest.
 
     Of a sentence its `rarest` least probable phrases are posted. sentences: id, words.
     """
@@ -76,33 +77,40 @@ def postings(sentences: DataFrame, probs: DataFrame, rarest: int = 50, sample: i
     rare = F.row_number().over(Window.partitionBy("id").orderBy("prob", "phrase"))
     kept = each.withColumn("r", rare).where(F.col("r") <= rarest).select("phrase", "id")
     totals = kept.groupBy("phrase").agg(F.count("*").alias("n_total"))
-    chosen = F.row_number().over(Window.partitionBy("phrase").orderBy(F.xxhash64(F.lit(seed), "phrase", "id"), "id"))
+    chosen = F.row_number().over(Window.partitionBy("phrase").orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), "phrase", "id")), "id"))
     ids = kept.withColumn("r", chosen).where(F.col("r") <= sample).groupBy("phrase").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     return totals.join(ids, "phrase")
 
 
 def search_examples(queries: DataFrame, pairs: DataFrame, mode: str = "exact") -> DataFrame:
-    """qid, id: pairs whose source holds the query. queries: qid, q.
+    """qid, id: pairs whose source holds the query. queries: qid, q, and for 'inflected' also forms (array<string>).
 
     'exact': as whole words, in its case; 'any': as whole words in any case; 'prefix', 'suffix': begins or ends at a word's edge;
-    'contain': anywhere, in any case. All meet on a word (or, for parts of words, on three letters) before the test.
+    'contain': anywhere, in any case; 'inflected': the query or any of its forms as whole words in any case. All meet on a word
+    (or, for parts of words, on three letters, shorter queries on as many as they have) before the test.
     """
+    if mode == "inflected":
+        asked = queries.select("qid", F.explode(F.array_distinct(F.array_append(F.coalesce("forms", F.array().cast("array<string>")), F.col("q")))).alias("q"))
+        return search_examples(asked, pairs, "any").distinct()
     quoted = F.concat(F.lit(r"\Q"), "q", F.lit(r"\E"))
     edge_before, edge_after = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
     if mode in ("exact", "any"):
         word = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
-        left = pairs.select("id", "source", F.explode(F.array_distinct(word("source"))).alias("w"))
-        asked = queries.select("qid", "q", F.element_at(word("q"), 1).alias("w"))
+        left = pairs.select("id", F.explode(F.array_distinct(word("source"))).alias("w"))
+        asked = cut(queries.select("qid", "q", F.get(word("q"), F.lit(0)).alias("w")).where("w is not null"))
         pattern = F.concat(F.lit(("(?i)" if mode == "any" else "") + edge_before), quoted, F.lit(edge_after))
-        return left.join(asked, "w").where(F.regexp_like("source", pattern)).select("qid", "id").distinct()
-    lowered = F.lower("source")
-    grams = pairs.select("id", "source", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("source") - 2, F.lit(1))), lambda i: F.substring(lowered, i, F.lit(3))))).alias("w"))
-    asked = queries.where(F.char_length("q") >= 3).select("qid", "q", F.substring(F.lower("q"), 1, 3).alias("w"))
-    met = grams.join(asked, "w")
-    if mode == "contain":
-        return met.where(F.contains(lowered, F.lower("q"))).select("qid", "id").distinct()
-    pattern = F.concat(F.lit("(?i)" + edge_before), quoted) if mode == "prefix" else F.concat(F.lit("(?i)"), quoted, F.lit(edge_after))
-    return met.where(F.regexp_like("source", pattern)).select("qid", "id").distinct()
+        test = F.regexp_like("source", pattern)
+    else:
+        lowered = F.lower("source")
+        size = F.explode(F.sequence(F.lit(1), F.least(F.lit(3), F.char_length("source")))).alias("n")
+        sized = pairs.where(F.char_length("source") > 0).select("id", lowered.alias("source"), size)
+        left = sized.select("id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("source") - F.col("n") + 1), lambda i: F.substring("source", i, F.col("n"))))).alias("w"))
+        asked = cut(queries.where("q != ''").select("qid", "q", F.substring(F.lower("q"), 1, 3).alias("w")))
+        pattern = F.concat(F.lit("(?i)" + edge_before), quoted) if mode == "prefix" else F.concat(F.lit("(?i)"), quoted, F.lit(edge_after))
+        test = F.contains(lowered, F.lower("q")) if mode == "contain" else F.regexp_like("source", pattern)
+    # only ids and grams meet; the texts of those that met follow
+    met = left.join(bounded(asked), "w").select("qid", "q", "id")
+    return met.join(pairs.select("id", "source"), "id").where(test).select("qid", "id").distinct()
 
 
 def attach(words: DataFrame, pairs: DataFrame, most: int = 8) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import cut
 from ..functions.text import derivative_stems, normalize_word, spell_variants
 
 # Floor of probabilities, decay of translations, pull of phrases, falling weight by age of acquisition.
@@ -62,9 +63,10 @@ def key_scores(entry: DataFrame, children: DataFrame) -> DataFrame:
 
 
 def ranked(scores: DataFrame, key: str = "key", parts: int = 64) -> DataFrame:
-    """Adds rank (from 1), by score from above, then key. Rows are dealt by range; each range is numbered by itself."""
+    """Adds rank (from 1), by score from above, then key. Rows are dealt by range, materialised, and each range is numbered by itself."""
     order = [F.round("score", 9).desc(), F.col(key)]
     dealt = scores.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    dealt = cut(dealt)  # else the two branches below might be dealt by different samples
     within = dealt.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy(*order)))
     sizes = within.groupBy("part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
@@ -127,12 +129,32 @@ def inflection_index(rows: DataFrame) -> DataFrame:
     return each.where("i.value != key").groupBy(F.col("i.value").alias("form"), "key").agg(F.max("score").alias("score"))
 
 
-def co_translations(rows: DataFrame) -> DataFrame:
-    """a, b, n: translations that stand for the same key, and for how many."""
-    per_key = rows.where("translation is not null").select("key", normalize_word(F.col("translation")).alias("t")).where("t != ''").distinct()
-    sets = per_key.groupBy("key").agg(F.array_sort(F.collect_set("t")).alias("ts")).where(F.size("ts") > 1)
-    pairs = sets.select(F.posexplode("ts").alias("i", "a"), "ts").select("a", F.explode(F.slice("ts", F.col("i") + 2, F.size("ts"))).alias("b"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+def co_translations(rows: DataFrame, least: int = 2) -> DataFrame:
+    """a, b, n: translations that stand together for at least `least` keys, and for how many.
+
+    A translation of fewer keys is in no such pair, so it goes before pairs are made: a key with very many translations pairs only
+    those that other keys have too.
+    """
+    per_key = cut(rows.where("translation is not null").select("key", normalize_word(F.col("translation")).alias("t")).where("t != ''").distinct())
+    often = per_key.groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("t")
+    shared = per_key.join(often, "t")
+    pairs = shared.withColumnRenamed("t", "a").join(shared.withColumnRenamed("t", "b"), "key").where("a < b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def thesaurus(pairs: DataFrame) -> DataFrame:
+    """translation, place (from 1), other: the co-translations of a translation, those of common keys and of more telling script first.
+
+    pairs: a, b, n. After the second place one stays only while its count is above half its place.
+    """
+    both = pairs.select("a", "b", "n").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    letters = lambda script: F.char_length(F.regexp_replace("b", rf"[^\p{{Is{script}}}]", ""))
+    count = F.round(F.col("n") + letters("Han") * 0.01 + letters("Katakana") * 0.001 + F.char_length("b") * 0.0001, 6)
+    by = Window.partitionBy("a").orderBy(F.desc("count"), "b")
+    ranked_ = both.withColumn("count", count).withColumn("place", F.row_number().over(by)).where("count >= 2")
+    # counts fall and the bar rises, so what follows the first refused is refused
+    refused = F.max(((F.col("place") > 3) & (F.col("count") < (F.col("place") - 1) / 2 + 1)).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    return ranked_.withColumn("refused", refused).where("refused = 0").select(F.col("a").alias("translation"), "place", F.col("b").alias("other"))
 
 
 def votes(rows: DataFrame, trusts: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import bounded
+
 
 def top(found: DataFrame, capacity: int | None, *order: str) -> DataFrame:
     """The first `capacity` matches of each query."""
@@ -23,10 +25,6 @@ def exact(queries: DataFrame, keys: DataFrame) -> DataFrame:
     return each.join(keys, "key").select("qid", "key", "rank")
 
 
-def _gram(column: Column | str, size: int) -> Column:
-    return F.substring(column, 1, size)
-
-
 def begins(queries: DataFrame, keys: DataFrame, capacity: int | None = None, size: int = 3) -> DataFrame:
     """Keys that begin with the query; both meet on their first letters, shorter queries on all of theirs."""
     heads = keys.select("key", "rank", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(size), F.char_length("key"))), lambda n: F.struct(n.alias("n"), F.left("key", n).alias("g")))).alias("h"))
@@ -98,10 +96,13 @@ def inflected(queries: DataFrame, keys: DataFrame, index: DataFrame) -> DataFram
 
 
 def partial(queries: DataFrame, keys: DataFrame) -> DataFrame:
-    """Headwords among the query's parts of one and two words less: qid, key, start, n."""
-    w = queries.select("qid", F.split("q", " ").alias("w")).where(F.size("w") > 1)
+    """Headwords among the parts of one and two words less of queries of two to six words: qid, key, start, n.
+
+    A part ends before the query does, so the last words alone are none.
+    """
+    w = queries.select("qid", F.split("q", " ").alias("w")).where(F.size("w").between(2, 6))
     lengths = w.select("qid", "w", F.explode(F.array(F.size("w") - 1, F.size("w") - 2)).alias("n")).where("n > 0")
-    parts = lengths.select("qid", "n", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("n"))).alias("start"), "w")
+    parts = lengths.select("qid", "n", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("n") - 1)).alias("start"), "w")
     named = parts.select("qid", "n", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("n")), " ").alias("key"))
     return named.join(keys.select("key"), "key").select("qid", "key", "start", "n")
 
@@ -130,15 +131,17 @@ def in_context(spans: DataFrame, keys: DataFrame, reach: int = 3) -> DataFrame:
     return named.join(keys.select("key"), "key").select("qid", "key").distinct()
 
 
-def annotate(sentences: DataFrame, entry: DataFrame, longest: int = 4) -> DataFrame:
+def phrase_hits(sentences: DataFrame, entry: DataFrame, longest: int = 4) -> DataFrame:
     """Headwords that start at each word of a sentence: id, sent_id, at, n, key, score.
 
-    sentences: id, sent_id, words (key form). The score prefers probable, well-described and long headwords.
+    sentences: id, sent_id, words (key form); entry (materialised): key, prob, n_items, n_labels. The score prefers probable,
+    well-described and long headwords. Only grams travel, and those only if the headwords are too many to be broadcast.
     """
-    start = sentences.select("id", "sent_id", F.posexplode("words").alias("at", "word"), "words")
-    grams = start.select("id", "sent_id", "at", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("words") - F.col("at"))), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("key")))).alias("g"))
-    value = F.least(F.lit(0.05), F.greatest(F.sqrt("prob"), F.lit(1e-5))) * 20 * F.log2(F.col("n_items") + 1.0) * (F.col("n_labels") + 1.0) * F.pow(F.lit(10.0), (F.col("g.n") - 1).cast("double"))
-    return grams.join(entry, F.col("g.key") == entry["key"]).select("id", "sent_id", "at", F.col("g.n").alias("n"), entry["key"], value.alias("score"))
+    size = F.size("words")
+    at_each = F.transform(F.sequence(F.lit(0), size - 1), lambda at: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), size - at)), lambda n: F.struct(at.alias("at"), n.alias("n"), F.array_join(F.slice("words", at + 1, n), " ").alias("key"))))
+    grams = sentences.where(size > 0).select("id", "sent_id", F.explode(F.flatten(at_each)).alias("g")).select("id", "sent_id", "g.at", "g.n", "g.key")
+    value = F.least(F.lit(0.05), F.greatest(F.sqrt("prob"), F.lit(1e-5))) * 20 * F.log2(F.col("n_items") + 1.0) * (F.col("n_labels") + 1.0) * F.pow(F.lit(10.0), (F.col("n") - 1).cast("double"))
+    return grams.join(bounded(entry), "key").select("id", "sent_id", "at", "n", "key", value.alias("score"))
 
 
 def coverage(sentences: DataFrame, annotated: DataFrame) -> DataFrame:

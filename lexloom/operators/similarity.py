@@ -9,28 +9,29 @@ from ..functions.text import twiddle_gain
 from .tokenize import ngrams
 
 
-def clipped_ngrams(pairs: DataFrame, references: DataFrame, longest: int) -> DataFrame:
-    """id, n, matched, total: n-grams of each candidate that a reference has, no more often than one reference has them.
+def clipped_ngrams(candidates: DataFrame, references: DataFrame, longest: int) -> DataFrame:
+    """id, n, matched, total: n-grams of each candidate that a reference of its key has, no more often than one reference has them.
 
-    pairs: id, words (candidates). references: id, ref, words. No n runs beyond the candidate's length.
+    candidates: id, key, words. references: key, words (each once). The n-grams of a key's references are counted once for all its
+    candidates. No n runs beyond the candidate's length.
     """
     gram = lambda df, *keys: df.select(*keys, F.explode(ngrams(F.col("words"), longest)).alias("g")).groupBy(*keys, "g").agg(F.count("*").alias("c"))
-    cand = gram(pairs, "id")
-    best = gram(references, "id", "ref").groupBy("id", "g").agg(F.max("c").alias("r"))
+    best = gram(references.withColumn("ref", F.xxhash64("words")), "key", "ref").groupBy("key", "g").agg(F.max("c").alias("r"))
     n = F.size(F.split("g", " "))
-    return cand.join(best, ["id", "g"], "left").groupBy("id", n.alias("n")).agg(F.sum(F.least("c", F.coalesce("r", F.lit(0)))).alias("matched"), F.sum("c").alias("total"))
+    return gram(candidates, "id", "key").join(best, ["key", "g"], "left").groupBy("id", n.alias("n")).agg(F.sum(F.least("c", F.coalesce("r", F.lit(0)))).alias("matched"), F.sum("c").alias("total"))
 
 
-def bleu(pairs: DataFrame, references: DataFrame, longest: int = 4) -> DataFrame:
+def bleu(candidates: DataFrame, references: DataFrame, longest: int = 4) -> DataFrame:
     """id, bleu, precision: geometric mean of clipped precisions with brevity penalty, and their arithmetic mean.
 
-    bleu is 0 where some n has no match. Candidates without words or references have no row.
+    bleu is 0 where some n has no match. Candidates without words or whose key has no references have no row.
     """
-    stat = clipped_ngrams(pairs, references, longest).groupBy("id").agg(
+    stat = clipped_ngrams(candidates, references, longest).groupBy("id").agg(
         F.exp(F.avg(F.log(F.col("matched") / F.col("total")))).alias("mean"), F.min("matched").alias("least"), F.avg(F.col("matched") / F.col("total")).alias("precision")
     )
-    sized = pairs.select("id", F.size("words").alias("len"))
-    closest = references.join(sized, "id").groupBy("id", "len").agg(F.min(F.struct(F.abs(F.size("words") - F.col("len")), F.size("words").alias("ref_len")))["ref_len"].alias("ref_len"))
+    sized = candidates.select("id", "key", F.size("words").alias("len"))
+    lengths = references.select("key", F.size("words").alias("ref_len")).distinct()
+    closest = sized.join(lengths, "key").groupBy("id", "len").agg(F.min(F.struct(F.abs(F.col("ref_len") - F.col("len")), "ref_len"))["ref_len"].alias("ref_len"))
     penalty = F.least(F.lit(1.0), F.exp(1 - F.col("ref_len") / F.col("len")))
     return stat.join(closest, "id").select("id", F.when(F.col("least") == 0, 0.0).otherwise(F.col("mean") * penalty).alias("bleu"), "precision")
 

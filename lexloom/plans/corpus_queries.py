@@ -24,7 +24,7 @@ def english(spark: SparkSession, directory: str) -> DataFrame:
 
 def corpus_totals(spark, directory):
     """Documents, sentences and words of the English corpus."""
-    return corpus.totals(english(spark, directory))
+    return corpus.totals(corpus.sentence_tokens(english(spark, directory), False))
 
 
 def sentence_split(spark, directory):
@@ -55,35 +55,43 @@ def predict_languages(spark, directory):
     return d.groupBy(F.lower("lang").alias("lang"), predict_language(F.col("text")).alias("predicted")).agg(F.count("*").alias("n"))
 
 
+def _sentences(spark, directory):
+    """Tokenised sentences, materialised: they are counted in more than one way."""
+    return cut(corpus.sentence_tokens(english(spark, directory), False))
+
+
+def _phrase_probs(spark, directory, longest=3):
+    s = _sentences(spark, directory)
+    return corpus.phrase_probs(corpus.ngram_counts(s, longest), corpus.sentence_total(s))
+
+
 def ngram_counts(spark, directory):
     """Sentence counts of all 1- to 3-grams."""
-    return corpus.ngram_counts(english(spark, directory))
+    return corpus.ngram_counts(corpus.sentence_tokens(english(spark, directory), False))
 
 
 def phrase_prob(spark, directory):
     """Probabilities of the phrases likely enough for their shape, also as text."""
-    e = english(spark, directory)
-    probs = corpus.phrase_probs(corpus.ngram_counts(e), corpus.totals(e))
-    return probs.select("phrase", "cnt", F.round("prob", 9).alias("prob"), format_prob(F.col("prob")).alias("as_text"))
+    return _phrase_probs(spark, directory).select("phrase", "cnt", F.round("prob", 9).alias("prob"), format_prob(F.col("prob")).alias("as_text"))
 
 
 def top_bigrams(spark, directory):
     """The twenty most probable bigrams."""
-    e = english(spark, directory)
-    probs = corpus.phrase_probs(corpus.ngram_counts(e, 2), corpus.totals(e)).where(F.contains("phrase", F.lit(" ")))
+    probs = _phrase_probs(spark, directory, 2).where(F.contains("phrase", F.lit(" ")))
     return probs.orderBy(F.desc("cnt"), "phrase").limit(20).select("phrase", "cnt", F.round("prob", 9).alias("prob"))
 
 
 def word_counts(spark, directory):
     """Sentence counts and probabilities of words in key form."""
-    e = english(spark, directory)
-    return corpus.word_counts(e).crossJoin(corpus.totals(e)).select("word", "cnt", F.round(F.col("cnt") / F.col("n_sentences"), 9).alias("prob"))
+    s = _sentences(spark, directory)
+    return corpus.word_counts(corpus.lowered(s)).crossJoin(corpus.sentence_total(s)).select("word", "cnt", F.round(F.col("cnt") / F.col("n_sentences"), 9).alias("prob"))
 
 
 def _coocs(spark, directory):
-    e = english(spark, directory)
-    counts, total = cut(corpus.word_counts(e)), cut(corpus.totals(e).select("n_sentences"))
-    return counts, total, corpus.cooccurrences(e, counts, LEAST_WORD)
+    lists = cut(corpus.document_words(english(spark, directory)))
+    s = corpus.each_sentence(lists)
+    counts, total = cut(corpus.word_counts(s)), cut(corpus.sentence_total(s))
+    return counts, total, corpus.cooccurrences(lists, counts, LEAST_WORD)
 
 
 def _score_table(spark, directory):
@@ -125,8 +133,7 @@ def related_words(spark, directory):
 
 def phrase_back_off(spark, directory):
     """Probabilities of the 4-grams of evaluation texts against the corpus."""
-    e = english(spark, directory)
-    probs = corpus.phrase_probs(corpus.ngram_counts(e), corpus.totals(e))
+    probs = _phrase_probs(spark, directory)
     words = table(spark, directory, "eval_items").where("text is not null").select(tokens(F.col("text")).alias("w")).where(F.size("w") >= 4)
     phrases = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice("w", i, 4), " "))).alias("phrase"))
     return corpus.back_off(phrases, probs).select("phrase", F.round(F.col("prob") * 1e9, 3).alias("prob_e9"))
@@ -141,11 +148,10 @@ def parallel_lines(spark, directory):
     d = documents(spark, directory).where("source = 'parallel' and domain_name is not null")
     line = d.select("doc_id", F.col("domain_name").alias("domain"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     both = line.withColumn("f", F.split("line", "\t")).where(F.size("f") == 2).select("doc_id", "line_no", "domain", F.col("f")[0].alias("src"), F.col("f")[1].alias("trg"))
-    heads = F.concat_ws("\t", F.substring("src", 1, 32), F.substring("trg", 1, 32))
-    tails = F.concat_ws("\t", F.substring("src", -32, 32), F.substring("trg", -32, 32))
-    first = lambda key: F.row_number().over(Window.partitionBy(key).orderBy("doc_id", "line_no"))
-    once = both.withColumn("k", heads).withColumn("r", first("k")).where("r = 1").withColumn("k", tails).withColumn("r", first("k")).where("r = 1")
-    return once.select("domain", "src", "trg")
+    # of lines that begin alike and of lines that end alike the first, by sums before the shuffle, so that no task holds all of them
+    row = F.struct("doc_id", "line_no", "domain", "src", "trg")
+    first = lambda df, at: df.groupBy(F.concat_ws("\t", *(F.substring(c, at, 32) for c in ("src", "trg"))).alias("k")).agg(F.min(row).alias("r")).select("r.*")
+    return first(first(both, 1), -32).select("domain", "src", "trg")
 
 
 def _phrase_pairs(spark, directory):
@@ -188,7 +194,7 @@ chunk_words as (
   select doc_id, line_no, list_transform(regexp_extract_all(chunk, '[\\p{{Latin}}\\d][-_''’\\p{{Latin}}\\d]*'), lambda w: regexp_replace(w, '[''’]s?$', '')) as w from chunks
 ),
 src_phrases as (
-  select doc_id, line_no, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as src from chunk_words
+  select doc_id, line_no, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as src from chunk_words
 ),
 pairs as (
   select distinct o.domain, p.src, unnest(regexp_extract_all(o.trg, '{TARGET}')) as trg from once o join src_phrases p using (doc_id, line_no)
@@ -205,8 +211,7 @@ SQL = {
       with s as (
         select doc_id, list_filter({q.sentences('text')}, lambda x: not contains('.?!。？！,;、', x[1]) and contains('.?!。？！', x[-1])) as s
         from documents where lower(lang) = 'en'),
-      b as (select doc_id, s[floor(greatest(len(s) - 64, 0) / 2.5)::int + 1 : floor(greatest(len(s) - 64, 0) / 2.5)::int + 64] as m from s),
-      u as (select doc_id, unnest(m) as sentence, generate_subscripts(m, 1) - 1 as place from b)
+      u as (select doc_id, unnest(s) as sentence, generate_subscripts(s, 1) - 1 as place from s)
       select doc_id, place::int as place, array_to_string(w, ' ') as words from (select doc_id, place, {q.tokens('sentence')} as w from u) where len(w) >= 6""",
     "normalize_words": f"with {q.ENGLISH_TOKENS}, w as (select distinct unnest(words) as word from toks) select word, {q.normalize_word('word')} as norm from w",
     "predict_languages": r"select lower(lang) as lang, case when regexp_matches(text, '[\p{Hiragana}\p{Katakana}ー\p{Han}]') then 'ja' else 'en' end as predicted, count(*) as n from documents where text is not null group by all",

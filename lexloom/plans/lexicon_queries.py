@@ -9,7 +9,7 @@ from ..functions.text import normalize_word
 from ..operators import lexicon, search
 from ..operators.corpus import english, sentence_tokens
 from ..operators.tokenize import tokens
-from ..runtime import table
+from ..runtime import cut, table
 from . import sqltext as q
 
 
@@ -78,7 +78,7 @@ def inflection_index(spark, directory):
 
 
 def co_translations(spark, directory):
-    """Translations that share a headword."""
+    """Translations that share at least two headwords."""
     return lexicon.co_translations(rows(spark, directory))
 
 
@@ -217,9 +217,9 @@ def search_inflected(spark, directory):
 
 
 def search_partial(spark, directory):
-    """Headwords within longer queries: the words of senses whose id is divisible by 20, each behind an article."""
+    """Headwords within longer queries: the words of senses whose id is divisible by 20, each between an article and a particle."""
     s = table(spark, directory, "senses").where("sense_id % 20 = 0")
-    queries = s.select(F.col("sense_id").alias("qid"), F.concat(F.lit("the "), normalize_word(F.col("word"))).alias("q"))
+    queries = s.select(F.col("sense_id").alias("qid"), F.concat(F.lit("the "), normalize_word(F.col("word")), F.lit(" of")).alias("q"))
     return search.partial(queries, keys(spark, directory))
 
 
@@ -234,10 +234,11 @@ def annotate_coverage(spark, directory):
     """How much of each English document the lexicon covers."""
     e = english(table(spark, directory, "documents").select("doc_id", "text", "lang"))
     s = sentence_tokens(e, True).withColumnRenamed("doc_id", "id")
+    s = cut(s)
     common = s.select(F.explode("words").alias("key")).groupBy("key").agg(F.count("*").alias("n_items")).where("n_items >= 20")
     entry = lexicon_entries(spark, directory).select("key", "prob", "n_items", "n_labels")
     more = common.join(entry, "key", "left_anti").select("key", F.lit(1e-7).alias("prob"), "n_items", F.lit(1).cast("bigint").alias("n_labels"))
-    return _rounded(search.coverage(s, search.annotate(s, entry.unionByName(more))), "coverage").withColumnRenamed("id", "doc_id")
+    return _rounded(search.coverage(s, search.phrase_hits(s, cut(entry.unionByName(more)))), "coverage").withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
@@ -302,7 +303,7 @@ SQL = {
     "inflection_index": f"with {_R}, {_INFL} select form, count(*) as n, string_agg(key, chr(9) order by round(score, 12) desc, key) as members from ii group by all",
     "co_translations": f"""
       with {_R}, t as (select distinct key, {q.normalize_word('translation')} as t from r where translation is not null and {q.normalize_word('translation')} <> '')
-      select a.t as a, b.t as b, count(*) as n from t a join t b on a.key = b.key and a.t < b.t group by all""",
+      select a.t as a, b.t as b, count(*) as n from t a join t b on a.key = b.key and a.t < b.t group by all having count(*) >= 2""",
     "translation_votes": f"""
       with {_rows('r', 'entry_records')}, tr as (select lower(trim(label)) as label, max(trust) as trust from label_trust group by all),
       b as (select key, translation, label, max(coalesce(trust, 0)) as w from (select key, label, {q.normalize_word('translation')} as translation from r where translation is not null) left join tr using (label) where translation <> '' group by all)
@@ -317,8 +318,16 @@ SQL = {
       with {_E}, kw as (select distinct {q.normalize_word('word')} as key from word_links where {q.normalize_word('word')} <> '')
       select e.key, round(prob * n_labels, 9) as score from e left join kw on kw.key = e.key
       where (kw.key is not null and prob > 1e-6) or (n_labels >= 3 and not contains(e.key, ' ') and prob >= 1e-5)""",
-    "derivations": None,
-    "spelling_pairs": None,
+    "derivations": f"""
+      with {_E}, rules(s, b, n) as (values ('iness','y',3),('ness','',3),('ability','able',2),('ibility','ible',2),('ity','',3),('ity','e',3),('ization','ize',3),('ation','ate',3),('ation','',4),('ation','e',3),
+        ('ion','',4),('ion','e',4),('ment','',3),('er','',3),('er','e',3),('or','',4),('or','e',3),('ist','',4),('ism','',4),('ize','',4),('ify','',3),('ily','y',3),('ally','al',3),('ly','',3),('able','',3),('able','e',3),
+        ('ible','',3),('ful','',3),('less','',3),('ous','',4),('ive','',4),('ive','e',3),('al','',4),('al','e',4),('ic','',4),('ish','',3),('ing','',3),('ing','e',3),('ed','',3),('ed','e',3)),
+      x as (select distinct key, prob, key[:len(key) - len(s)] || b as stem from e join rules on ends_with(key, s) and len(key) >= len(s) + n where regexp_full_match(key, '[a-z]{{4,}}'))
+      select x.key, stem, round(e.prob / x.prob, 6) as ratio from x join e on e.key = stem where stem <> x.key and e.prob / x.prob >= 0.1""",
+    "spelling_pairs": f"""
+      with {_E}, p(a, b) as (values ('se','ze'),('sing','zing'),('sed','zed'),('ser','zer'),('sation','zation'),('ce','se'),('our','or'),('og','ogue'),('re','er'),('l','ll')),
+      v as (select distinct key, prob, key[:len(key) - len(a)] || b as variant from (select * from e, p union all select e.*, b, a from e, p) where ends_with(key, a) and len(key) > len(a))
+      select v.key, variant, round(least(v.prob, e.prob) / (v.prob + e.prob), 9) as ratio from v join e on e.key = variant""",
     "parent_closure": f"""
       with {_EDGES},
       s as (select child, parent as ancestor, 1 as distance from edges
@@ -360,9 +369,9 @@ SQL = {
       select qid, key, 0 as place from p join e on e.key = q
       union all select qid, key, (row_number() over (partition by qid order by round(score, 12) desc, key))::int from p join ii on form = q where key <> q""",
     "search_partial": f"""
-      with {_E}, qs as (select sense_id as qid, string_split('the ' || {q.normalize_word('word')}, ' ') as w from senses where sense_id % 20 = 0 and word is not null),
-      l as (select qid, w, unnest([len(w) - 1, len(w) - 2]) as n from qs where len(w) > 1),
-      p as (select qid, w, n, unnest(range(0, len(w) - n + 1)) as start from l where n > 0)
+      with {_E}, qs as (select sense_id as qid, string_split('the ' || {q.normalize_word('word')} || ' of', ' ') as w from senses where sense_id % 20 = 0 and word is not null),
+      l as (select qid, w, unnest([len(w) - 1, len(w) - 2]) as n from qs where len(w) between 2 and 6),
+      p as (select qid, w, n, unnest(range(0, len(w) - n)) as start from l where n > 0)
       select qid, key, start::int as start, n::int as n from p join e on e.key = array_to_string(w[start + 1:start + n], ' ')""",
     "search_in_context": f"""
       with {_E}, i as (select item_id as qid, list_transform({q.tokens('text')}, lambda x: {q.normalize_word('x')}) as w from eval_items where item_id % 20 = 0 and text is not null),

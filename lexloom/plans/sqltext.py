@@ -2,10 +2,56 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
-from ..functions.text import PLAIN_SIGNS, SPACES, STOP_WORDS, _latin_accents
-from ..operators.tokenize import SENTENCE_RULES, TOKEN, TOKEN_RULES
+# The values below are stated here once more, so that a wrong one in the package shows.
+STOP_WORDS = "the a an be do not and or but no any some this these that those i my me mine you your yours we our us ours he his him she her hers it its they them their".split()
+SPACES = r"[\s\x0b\p{Z}]+"
+PLAIN_SIGNS = (
+    ("[\u2018\u2019\u201a\u201b\u2758\u275b\u275c\u275f\uff02]", "'"),
+    ("[\u201c\u201d\u201e\u201f]", '"'),
+    ("[\u00ad\u02d7\u2010\u2011\u2012\u2013\u2014\u2015\u2043\u2212\u2796\u2e3a\u2e3b\ufe58\ufe63\uff0d]", "-"),
+)
+#: Sentences: what ends none is marked by a control character before sentences are parted.
+SENTENCE_RULES = (
+    (r"(^|[^\p{L}\p{N}_])(Mr\.|Mrs\.|Dr\.|Prof\.|Esq\.)", "\\1\\2\x01"),
+    (r"(?i)(^|[^\p{L}\p{N}_])(e\.g\.|eg\.|i\.e\.|ie\.|c\.f\.|cf\.|p\.s\.|ps\.)", "\\1\\2\x01"),
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu}\.) *(\p{Lu}\.) *(\p{Lu}\.) *(\p{Lu}\.)", r"\1\2\3\4\5"),
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu}\.) *(\p{Lu}\.) *(\p{Lu}\.)", r"\1\2\3\4"),
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu}\.) *(\p{Lu}\.)", r"\1\2\3"),
+    (r"([.?!]) +([\"\p{Lu}\p{Lo}])", "\\1\n\\2"),
+    ("\x01", ""),
+    ("。", "。\n"),
+)
+TOKEN_RULES = (
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu})\.(\p{Lu})\.(\p{Lu})\.(\p{Lu})\.", r"\1\2\3\4\5"),
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu})\.(\p{Lu})\.(\p{Lu})\.", r"\1\2\3\4"),
+    (r"(^|[^\p{L}\p{N}_])(\p{Lu})\.(\p{Lu})\.", r"\1\2\3"),
+    (r"[\p{Ps}\p{Pe}\p{Pi}\p{Pf}\p{S}~!@#$%^&*+|\\:;,/?]", " "),
+)
+TOKEN = r"-?[\p{Latin}0-9]+[-_'\p{Latin}0-9]*"
+WIKI_ELEMENTS = "ref timeline imagemap mapframe score math gallery code hiero chem poem syntaxhighlight nowiki noinclude".split()
+WIKI_DROP = r"^[{|;!]|^:*(Image|File|Category):"
+WIKI_RULES = (
+    (r"<!--(.*?)-->", ""), *((f"<{n}.*?</{n}>", "") for n in WIKI_ELEMENTS), (f"<({'|'.join(WIKI_ELEMENTS)}).*", ""),
+    (r"</?[a-z]+[^>]*>", ""), (r"\[\[Image:(.*?)\]\]", ""), (r"\[\[File:(.*?)\]\]", ""), (r"\[\[Category:(.*?)\]\]", ""), (r"\[\[(.*?)(\|.*?)?\]\]", r"\1"),
+    (r"\[http(.*?)\]", ""), (r"\{\{.*?\}\}", ""), (r"\|.*?\}\}", ""), (r"''+", ""), (r"\]\]", ""), (r"\}\}", ""), (r"&[a-zA-Z0-9]+;", ""),
+)
+WIKI_MARKS = ((r"^==+", ""), (r"==+$", ""), (r"^[#*:]+", ""), (SPACES, " "))
+HTML_RULES = (
+    (SPACES, " "), (r"<!--.*?-->", ""), (r"^.*<body[^>]*>", ""), (r"</body>.*$", ""), (r"(?i)<script[^>]*>.*?</script>", ""), (r"(?i)<style[^>]*>.*?</style>", ""),
+    (r"(?i)<h([123])(>|\s[^>]*>)", "\n[head\\1]: "), (r"(?i)</?(h\d|p|div|br|li|dt|dd|tr)(>|\s[^>]*>)", "\n"), (r"(?i)<(th|td)(>|\s[^>]*>)", " "), (r"<[^>]*>", ""),
+)
+#: Character references that the test data have, the ampersand last.
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+META, PAGE = "====[META]====", "====[PAGE]===="
+
+
+def _latin_accents() -> tuple[str, str]:
+    """Accented small Latin letters and their bases, as the Unicode names tell them."""
+    marked = [c for c in map(chr, range(0xC0, 0x1F00)) if " WITH " in unicodedata.name(c, "") and unicodedata.name(c).startswith("LATIN") and len(unicodedata.normalize("NFD", c)) > 1]
+    return "".join(marked), "".join(unicodedata.normalize("NFD", c)[0] for c in marked)
 
 
 def quote(text: str) -> str:
@@ -27,8 +73,8 @@ def normalize_word(column: str) -> str:
     return f"trim(translate({chain(lowered, [(r'(' + chr(92) + r'p{Latin})' + chr(92) + r'p{Mn}+', chr(92) + '1')])}, {quote(bare)}, {quote(base)}))"
 
 
-def normalize_text(column: str) -> str:
-    return trim(chain(column, [*PLAIN_SIGNS, (SPACES, " ")]))
+def plain_signs(column: str) -> str:
+    return chain(column, PLAIN_SIGNS)
 
 
 def lines(column: str) -> str:
@@ -55,11 +101,11 @@ def weight(column: str) -> str:
     return f"(case when {numeric(column)} then 0.2::double when {stop_word(column)} then 0.5::double else 1.0::double end)"
 
 
-#: Sentences of English documents, at most 64 of each, from 0 on.
+#: Sentences of English documents, from 0 on.
 ENGLISH_SENTENCES = f"""
 sents as (
   select doc_id, unnest(s) as sentence, generate_subscripts(s, 1) - 1 as sent_id
-  from (select doc_id, ({sentences('text')})[1:64] as s from documents where lower(lang) = 'en')
+  from (select doc_id, {sentences('text')} as s from documents where lower(lang) = 'en')
 )"""
 #: Their tokens as written and in key form.
 ENGLISH_TOKENS = f"""{ENGLISH_SENTENCES},

@@ -11,7 +11,7 @@ from ..operators import tokenize as tk
 from ..operators.search import edits
 from ..runtime import cut, table
 from . import sqltext as q
-from .lexicon_queries import _E, _EDGES, _TRAN, edges, lexicon_entries, rows
+from .lexicon_queries import _E, _EDGES, _R, _TRAN, edges, lexicon_entries, rows
 
 
 def pairs(spark: SparkSession, directory: str) -> DataFrame:
@@ -111,9 +111,10 @@ def example_attach(spark, directory):
 def postings_index(spark, directory):
     """Sentences of each phrase of English documents, rare phrases first, at most a hundred each."""
     e = corpus.english(table(spark, directory, "documents"))
-    s = corpus.sentence_tokens(e, False).select(F.struct("doc_id", "sent_id").alias("id"), "words")
-    probs = corpus.phrase_probs(corpus.ngram_counts(e), corpus.totals(e))
-    return examples.postings(s, probs).select("phrase", "n_total", F.size("ids").alias("n_ids"))
+    s = cut(corpus.sentence_tokens(e, False))
+    probs = corpus.phrase_probs(corpus.ngram_counts(s), corpus.sentence_total(s))
+    ids = s.select(F.concat_ws("-", "doc_id", "sent_id").alias("id"), "words")
+    return examples.postings(ids, probs).select("phrase", "n_total", F.array_join("ids", " ").alias("ids"))
 
 
 def postings_total(spark, directory):
@@ -124,10 +125,7 @@ def postings_total(spark, directory):
 def _glosses(spark, directory):
     r = rows(spark, directory).where("text is not null")
     cand = table(spark, directory, "entry_records").where("text is not null").select(F.col("record_id").alias("id"), t.normalize_word(F.col("word")).alias("key"), tk.tokens(F.col("text"), True).alias("words")).where(F.size("words") > 0)
-    refs = r.select("key", F.xxhash64("text").alias("ref"), tk.tokens(F.col("text"), True).alias("words")).where(F.size("words") > 0).distinct()
-    joined = cand.select("id", "key").join(refs, "key").select("id", "ref", "words")
-    known = cand.join(joined.select("id").distinct(), "id", "left_semi").select("id", "words")
-    return known, joined
+    return cand, r.select("key", tk.tokens(F.col("text"), True).alias("words")).where(F.size("words") > 0).distinct()
 
 
 def gloss_bleu(spark, directory):
@@ -225,7 +223,7 @@ def text_forms(spark, directory):
     """Senses with quotes and dashes in plain spelling, kana exchanged and kinds of words."""
     s = table(spark, directory, "senses")
     return s.select(
-        "sense_id", t.normalize_text(F.col("text")).alias("text"), t.to_hiragana(F.col("translation")).alias("hiragana"), t.to_katakana(F.col("translation")).alias("katakana"),
+        "sense_id", t.plain_signs(F.col("text")).alias("text"), t.to_hiragana(F.col("translation")).alias("hiragana"), t.to_katakana(F.col("translation")).alias("katakana"),
         t.word_weight(F.lower("word")).alias("weight"),
     )
 
@@ -245,6 +243,8 @@ QUERIES = {
     )
 }
 
+_HIRA = "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわをんぁぃぅぇぉゃゅょっがぎぐげござじずぜぞだぢづでどばびぶべぼぱぴぷぺぽゔ"
+_KATA = "".join(chr(ord(c) + 0x60) for c in _HIRA)
 _PAIRS = f"""
 lines as (select doc_id, unnest(l) as line, generate_subscripts(l, 1) - 1 as line_no from (select doc_id, string_split(text, chr(10)) as l from documents where source = 'parallel' and text is not null)),
 pairs as (
@@ -272,32 +272,31 @@ rel as (
 fb as (select key, label, max(round(w, 9)) as w from rel group by all),
 feat as (select key, label, w / max(w) over (partition by key) as weight from fb qualify row_number() over (partition by key order by w desc, label) <= 128)"""
 _FEATURES = f"{_TRAN}, e as (select distinct key from r), {_EDGES}, {_RELATIONS}"
-_WIKI = [(r"<!--(.*?)-->", ""), *((f"<{n}.*?</{n}>", "") for n in tk.WIKI_ELEMENTS), (f"<({'|'.join(tk.WIKI_ELEMENTS)}).*", ""), *tk.WIKI_RULES]
 _PAGE_LINES = f"""
 raw as (select doc_id, unnest(l) as line, generate_subscripts(l, 1) - 1 as line_no from (select doc_id, {q.lines("coalesce(text, '')")} as l from documents where source = 'book')),
 marked as (
-  select *, line in ('{tk.META}', '{tk.PAGE}') as marker, sum((line in ('{tk.META}', '{tk.PAGE}'))::int) over w as block,
-    coalesce(last_value(case when line in ('{tk.META}', '{tk.PAGE}') then line = '{tk.META}' end ignore nulls) over w, false) as is_meta
+  select *, line in ('{q.META}', '{q.PAGE}') as marker, sum((line in ('{q.META}', '{q.PAGE}'))::int) over w as block,
+    coalesce(last_value(case when line in ('{q.META}', '{q.PAGE}') then line = '{q.META}' end ignore nulls) over w, false) as is_meta
   from raw window w as (partition by doc_id order by line_no rows unbounded preceding)),
 paged as (select doc_id, case when is_meta then 0 else dense_rank() over (partition by doc_id, is_meta order by block) end as page, line_no, line from marked where not marker)"""
 _HTML = "'<html><head><title>' || coalesce(head_key, '') || '</title></head><body><h1 class=''x''>' || coalesce(head_key, '') || '</h1><p>' || replace(text, chr(10), '<br>') || '</p><!-- end --><script>var x;</script></body></html>'"
 
 
 def _unescaped(column: str) -> str:
-    for entity, sign in tk.HTML_ENTITIES:
+    for entity, sign in q.HTML_ENTITIES:
         column = f"replace({column}, {q.quote(entity)}, {q.quote(sign)})"
     return column
 
 
 SQL = {
     "wiki_lines": f"""
-      with l as (select doc_id, list_filter({q.lines(q.chain("coalesce(text, '')", _WIKI))}, lambda x: not regexp_matches(x, '{tk.WIKI_DROP}')) as l from documents where source in ('encyclopedia', 'dictionary')),
-      m as (select doc_id, list_filter(list_transform(l, lambda x: {q.trim(q.chain('x', tk.WIKI_MARKS))}), lambda x: x <> '') as l from l)
+      with l as (select doc_id, list_filter({q.lines(q.chain("coalesce(text, '')", q.WIKI_RULES))}, lambda x: not regexp_matches(x, '{q.WIKI_DROP}')) as l from documents where source in ('encyclopedia', 'dictionary')),
+      m as (select doc_id, list_filter(list_transform(l, lambda x: {q.trim(q.chain('x', q.WIKI_MARKS))}), lambda x: x <> '') as l from l)
       select doc_id, unnest(l) as line, (generate_subscripts(l, 1) - 1)::int as line_no from m""",
     "html_pages": f"""
       with p as (select doc_id, {_HTML} as page from documents where text is not null),
-      t as (select doc_id, regexp_extract({q.chain('page', [(t.SPACES, ' ')])}, '<title[^>]*>(.*?)</title>', 1) as title, array_to_string({q.lines(_unescaped(q.chain('page', tk.HTML_RULES)))}, chr(10)) as body from p)
-      select doc_id, case when title <> '' then '{tk.META}' || chr(10) || '[title]: ' || title || chr(10) || '{tk.PAGE}' || chr(10) || body else body end as text from t""",
+      t as (select doc_id, regexp_extract({q.chain('page', [(q.SPACES, ' ')])}, '<title[^>]*>(.*?)</title>', 1) as title, array_to_string({q.lines(_unescaped(q.chain('page', q.HTML_RULES)))}, chr(10)) as body from p)
+      select doc_id, case when title <> '' then '{q.META}' || chr(10) || '[title]: ' || title || chr(10) || '{q.PAGE}' || chr(10) || body else body end as text from t""",
     "book_pages": f"with {_PAGE_LINES} select doc_id, page::int as page, count(*) as n_lines, sum(len(line))::bigint as n_chars from paged group by all",
     "book_sections": f"""
       with {_PAGE_LINES}
@@ -330,9 +329,23 @@ SQL = {
     "postings_index": f"""
       with {q.ENGLISH_PROBS},
       g as (select distinct doc_id, sent_id, phrase from (select doc_id, sent_id, array_to_string(words[i:i + n - 1], ' ') as phrase from (select *, unnest(range(1, 4)) as n from sw) cross join lateral (select unnest(range(1, len(words) - n + 2)) as i))),
-      k as (select g.phrase, doc_id, sent_id from g join probs using (phrase) qualify row_number() over (partition by doc_id, sent_id order by prob, g.phrase) <= 50)
-      select phrase, count(*) as n_total, least(count(*), 100)::int as n_ids from k group by all""",
+      k as (select g.phrase, doc_id, sent_id from g join probs using (phrase) qualify row_number() over (partition by doc_id, sent_id order by prob, g.phrase) <= 50),
+      s as (select phrase, doc_id || '-' || sent_id as id, count(*) over (partition by phrase) as n_total from k
+        qualify row_number() over (partition by phrase order by md5('19780211|' || phrase || '|' || doc_id || '-' || sent_id), doc_id || '-' || sent_id) <= 100)
+      select phrase, n_total, string_agg(id, ' ' order by id) as ids from s group by all""",
     "postings_total": f"with {_EXNUM} select phrase, n from exnum where n >= 2",
+    "gloss_bleu": f"""
+      with {_R},
+      c as (select record_id as id, {q.normalize_word('word')} as key, list_transform({q.tokens('text')}, lambda w: {q.normalize_word('w')}) as words from entry_records where text is not null),
+      cand as (select * from c where len(words) > 0),
+      rf as (select distinct key, words from (select key, list_transform({q.tokens('text')}, lambda w: {q.normalize_word('w')}) as words from r where text is not null) where len(words) > 0),
+      refs as (select row_number() over () as ref, key, words from rf),
+      cg as (select id, key, n, array_to_string(words[i:i + n - 1], ' ') as g, count(*) as c from (select *, unnest(range(1, 5)) as n from cand) cross join lateral (select unnest(range(1, len(words) - n + 2)) as i) group by all),
+      rg as (select key, g, max(c) as r from (select ref, key, array_to_string(words[i:i + n - 1], ' ') as g, count(*) as c from (select *, unnest(range(1, 5)) as n from refs) cross join lateral (select unnest(range(1, len(words) - n + 2)) as i) group by all) group by all),
+      st as (select id, n, sum(least(c, coalesce(r, 0))) as m, sum(c) as t from cg left join rg using (key, g) group by all),
+      s as (select id, avg(ln(m / t)) filter (where m > 0) as l, min(m) as least_m, avg(m / t) as precision from st group by all),
+      cl as (select id, len(c.words) as len, arg_min(len(f.words), (abs(len(f.words) - len(c.words)), len(f.words))) as ref_len from cand c join refs f using (key) group by all)
+      select id, round(case when least_m = 0 then 0 else exp(l) * least(1, exp(1 - ref_len / len)) end, 6) as bleu, round(precision, 6) as precision from s join cl using (id)""",
     "twiddle_rank": f"""
       with {_EDGES}, l as (select parent as q, list(child order by child) as words from edges group by all),
       x as (select q, words[i] as word, i - 1 as i, len(words) as n from (select *, unnest(range(1, len(words) + 1)) as i from l)),
@@ -353,7 +366,7 @@ SQL = {
       a as (select key, round(avg(mean + 3.0), 6) as aoa, count(*) as n from p where key <> '' group by all)
       select key, aoa, round(-ln(n / (select sum(n) from a) + 1e-8) + 3.5, 6) as made, round(min(aoa) over (partition by key[1] order by key rows unbounded preceding), 6) as least_so_far from a""",
     "text_forms": f"""
-      select sense_id, {q.normalize_text('text')} as text, translate(translation, '{t.KATAKANA}', '{t.HIRAGANA}') as hiragana, translate(translation, '{t.HIRAGANA}', '{t.KATAKANA}') as katakana,
+      select sense_id, {q.plain_signs('text')} as text, translate(translation, '{_KATA}', '{_HIRA}') as hiragana, translate(translation, '{_HIRA}', '{_KATA}') as katakana,
         {q.weight('lower(word)')} as weight
       from senses""",
     "section_translations": r"""

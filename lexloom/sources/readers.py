@@ -9,17 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.text import normalize_text, normalize_word, sub, trim
+from ..functions.text import collapse, nfkc, normalize_text, normalize_word, sub, trim
 
 # Fixed value: the greatest length of a headword.
 MAX_WORD = 48
-# Pointer symbols of a WordNet data file and their names.
+# The first sign of a pointer of a WordNet data file and its name; adverbs derive where adjectives pertain.
 POINTERS = {
-    "!": "antonym", "@": "hypernym", "@i": "instance_hypernym", "~": "hyponym", "~i": "instance_hyponym", "#m": "member_holonym", "#s": "substance_holonym", "#p": "part_holonym",
-    "%m": "member_meronym", "%s": "substance_meronym", "%p": "part_meronym", "=": "attribute", "+": "derivative", "*": "entailment", ">": "cause", "^": "see_also", "$": "group",
-    "&": "similar", "<": "participle", "\\": "pertainym",
+    "!": "antonym", "@": "hypernym", "~": "hyponym", "=": "attribute", "+": "derivative", "*": "entailment", ">": "cause", "^": "seealso", "$": "group", "&": "similar", "<": "perticiple",
+    "\\": "pertainym",
 }
-IGNORED_POINTERS = (";c", "-c", ";r", "-r", ";u")
+# The letters of parts of speech, by which the files are told too.
+PARTS_OF_SPEECH = {"n": "noun", "v": "verb", "a": "adjective", "s": "adjective", "r": "adverb"}
 
 PAGE_SCHEMA = StructType(
     [
@@ -57,10 +57,9 @@ def tokenised_documents(spark: SparkSession, path: str, cap: int | None = None)
 
 
 def sense_fields(line: Column) -> Column:
-    """The name=value fields of a line in order: array<struct<name, value>>; names may repeat."""
-    clean = lambda f: normalize_text(sub(f, r"[\p{Z}\p{C}]+", " "))
-    named = F.filter(F.split(line, "\t"), lambda f: F.contains(f, F.lit("=")))
-    return F.transform(named, lambda f: F.struct(F.substring_index(f, "=", 1).alias("name"), clean(F.substring(f, F.instr(f, "=") + 1, F.char_length(f))).alias("value")))
+    """The name=value fields of a line in order, values in compatibility form: array<struct<name, value>>; names may repeat."""
+    named = F.filter(F.split(normalize_text(line), "\t"), lambda f: F.contains(f, F.lit("=")))
+    return F.transform(named, lambda f: F.struct(F.substring_index(f, "=", 1).alias("name"), collapse(F.substring(f, F.instr(f, "=") + 1, F.char_length(f))).alias("value")))
 
 
 def senses(lines: DataFrame, slim: bool = False) -> DataFrame:
@@ -84,6 +83,16 @@ def field_rows(senses_frame: DataFrame) -> DataFrame:
     return each.groupBy("key", "word", F.col("f.name").alias("name")).agg(F.transform(ordered, lambda x: x["v"]).alias("values"))
 
 
+# The fields that name related words.
+RELATIONS = "synonym hypernym hyponym antonym derivative relation".split()
+
+
+def related_fields(senses_frame: DataFrame) -> DataFrame:
+    """key, word, name, value: the fields of related words, those of one name joined by ', ' in order."""
+    rows = field_rows(senses_frame).where(F.col("name").isin(RELATIONS))
+    return rows.select("key", "word", "name", F.array_join("values", ", ").alias("value"))
+
+
 def listed_values(lines: DataFrame) -> DataFrame:
     """key, values: a word and its values in tab-separated fields, repeats in key form left out, order kept."""
     f = lines.select(F.split("value", "\t").alias("f")).where(F.size("f") >= 2)
@@ -94,10 +103,34 @@ def listed_values(lines: DataFrame) -> DataFrame:
     return cut.select("key", once.alias("values")).where(F.size("values") > 0)
 
 
+def hints(lines: DataFrame) -> DataFrame:
+    """key, surface, poses, prob: hints at the parts of speech of a surface, in three fields; others are left out."""
+    f = lines.select(F.split(trim(F.col("value")), "\t").alias("f")).where(F.size("f") == 3)
+    poses = F.filter(F.transform(F.split(F.get("f", F.lit(1)), ","), trim), lambda p: p != "")
+    return f.select(normalize_word(F.get("f", F.lit(0))).alias("key"), F.get("f", F.lit(0)).alias("surface"), poses.alias("poses"), F.get("f", F.lit(2)).try_cast("double").alias("prob"))
+
+
+def pronunciations(lines: DataFrame) -> DataFrame:
+    """key, word, ipa of lines of two fields; of several lines for a word the first in order of the sound counts."""
+    f = lines.select(F.split(trim(F.col("value")), "\t").alias("f")).where(F.size("f") == 2)
+    rows = f.select(F.get("f", F.lit(0)).alias("word"), trim(F.get("f", F.lit(1))).alias("ipa")).where("word != '' and ipa != ''")
+    return rows.groupBy("word").agg(F.min("ipa").alias("ipa")).select(normalize_word(F.col("word")).alias("key"), "word", "ipa")
+
+
+def keyword_list(lines: DataFrame) -> DataFrame:
+    """key: one keyword a line, in key form, each once."""
+    return lines.select(normalize_word(F.col("value")).alias("key")).where("key != ''").distinct()
+
+
+def page_count(pages: DataFrame) -> DataFrame:
+    """n_pages of a frame of wiki pages, a single row."""
+    return pages.agg(F.count("*").alias("n_pages"))
+
+
 def parallel_corpus(lines: DataFrame) -> DataFrame:
-    """domain, score, source, target of lines with exactly four fields."""
-    f = lines.select(F.split("value", "\t").alias("f")).where(F.size("f") == 4)
-    return f.select(F.get("f", F.lit(0)).alias("domain"), F.try_to_number(F.get("f", F.lit(1)), F.lit("S999999999.999999999")).cast("double").alias("score"), normalize_text(F.get("f", F.lit(2))).alias("source"), normalize_text(F.get("f", F.lit(3))).alias("target"))
+    """domain, score, source, target of lines with exactly four fields, in compatibility form."""
+    f = lines.select(F.split(trim(nfkc(F.col("value"))), "\t").alias("f")).where(F.size("f") == 4)
+    return f.select(F.get("f", F.lit(0)).alias("domain"), F.try_to_number(F.get("f", F.lit(1)), F.lit("S999999999.999999999")).cast("double").alias("score"), F.get("f", F.lit(2)).alias("source"), F.get("f", F.lit(3)).alias("target"))
 
 
 def acquisition_ages(lines: DataFrame) -> DataFrame:
@@ -111,17 +144,22 @@ def acquisition_ages(lines: DataFrame) -> DataFrame:
 def synsets(lines: DataFrame) -> DataFrame:
     """synset_id, pos, words, gloss, pointers array<struct<type, target>> of a WordNet data file (column value).
 
-    Comment lines are left out, the count of words is hexadecimal, underscores stand for blanks; five pointer types are ignored.
+    Comment lines and lines without exactly one gloss are left out, the count of words is hexadecimal, underscores stand for
+    blanks, brackets in words are dropped. Holonyms, meronyms and the pointers to topics, regions and usages are no relations here.
     """
-    rows = lines.where(~F.startswith("value", F.lit(" "))).select(F.split(F.substring_index("value", "|", 1), " +").alias("f"), trim(F.substring_index("value", "|", -1)).alias("gloss"))
-    rows = rows.where((F.size("f") >= 6) & F.get("f", F.lit(0)).rlike(r"^\d{8}$"))
+    sides = F.split(trim(F.col("value")), r" \| ")
+    rows = lines.where(~F.startswith("value", F.lit(" "))).where(F.size(sides) == 2).select(F.split(sides[0], " ").alias("f"), trim(sides[1]).alias("gloss"))
+    rows = rows.where((F.size("f") >= 6) & F.get("f", F.lit(0)).rlike(r"^\d{8}$") & (F.col("gloss") != ""))
     counted = rows.withColumn("n", F.conv(F.get("f", F.lit(3)), 16, 10).cast("int")).withColumn("p", F.get("f", F.col("n") * 2 + 4).cast("int"))
-    word = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.replace(F.get("f", i * 2 + 4), F.lit("_"), F.lit(" ")))
+    word = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: trim(sub(F.replace(F.get("f", i * 2 + 4), F.lit("_"), F.lit(" ")), r"\(.*?\)")))
     at = lambda i, k: F.get("f", F.col("n") * 2 + 5 + i * 4 + k)
-    symbol = F.create_map(*(F.lit(x) for pair in POINTERS.items() for x in pair))
-    pointer = F.when(F.col("p") > 0, F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.struct(symbol[at(i, 0)].alias("type"), F.concat(at(i, 1), F.lit("-"), at(i, 2)).alias("target"))))
-    pos = F.translate(F.get("f", F.lit(2)), "s", "a")
-    return counted.select(F.concat(F.get("f", F.lit(0)), F.lit("-"), pos).alias("synset_id"), pos.alias("pos"), word.alias("words"), "gloss", F.filter(F.coalesce(pointer, F.array()), lambda x: x["type"].isNotNull()).alias("pointers"))
+    named = lambda values: F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
+    letter = F.get("f", F.lit(2))
+    kind = named(PARTS_OF_SPEECH)[letter]
+    symbol = lambda i: F.when((F.substring(at(i, 0), 1, 1) == "\\") & (kind == "adverb"), "derivative").otherwise(named(POINTERS)[F.substring(at(i, 0), 1, 1)])
+    pointer = F.when(F.col("p") > 0, F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.struct(symbol(i).alias("type"), F.concat(at(i, 1), F.lit("-"), at(i, 2)).alias("target"))))
+    file = F.translate(letter, "s", "a")
+    return counted.select(F.concat(F.get("f", F.lit(0)), F.lit("-"), file).alias("synset_id"), kind.alias("pos"), word.alias("words"), "gloss", F.filter(F.coalesce(pointer, F.array()), lambda x: x["type"].isNotNull()).alias("pointers"))
 
 
 def synset_relations(synsets_frame: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Readers, writers and streams on small files."""
 
-from lexloom.operators.corpus import ngram_counts, word_counts
+from lexloom.operators.corpus import ngram_counts, sentence_tokens, word_counts
 from lexloom.sources import readers
 from lexloom.streaming import counts
 
@@ -32,7 +32,7 @@ def test_tables_of_lines(spark):
 
 
 def test_synsets(spark):
-    data = ["  1 comment", "00000001 03 n 02 big_dog 0 hound 0 002 @ 00000002 n 0000 ;c 00000003 n 0000 | a dog ", "00000002 03 n 01 animal 0 000 | a being"]
+    data = ["  1 comment", "00000001 03 n 02 big_dog 0 hound(p) 0 003 @i 00000002 n 0000 ;c 00000003 n 0000 #m 00000002 n 0000 | a dog ", "00000002 03 n 01 animal 0 000 | a being"]
     df = readers.synsets(lines(spark, *data))
     assert {(r.synset_id, tuple(r.words), r.gloss) for r in df.collect()} == {("00000001-n", ("big dog", "hound"), "a dog"), ("00000002-n", ("animal",), "a being")}
     assert {tuple(r) for r in readers.synset_relations(df).collect()} == {("big dog", "hypernym", "animal"), ("hound", "hypernym", "animal")}
@@ -63,8 +63,16 @@ def test_streams_end_at_the_batch_counts(spark, tmp_path):
     rows = [(1, "The cat sat. The dog ran."), (2, "A cat."), (3, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     df.repartition(3).write.parquet(str(tmp_path / "in"))
-    for name, stream, batch in (("phrases", counts.phrase_counts, ngram_counts(df)), ("words", counts.word_counts, word_counts(df))):
+    for name, stream, batch in (("phrases", counts.phrase_counts, ngram_counts(sentence_tokens(df, False))), ("words", counts.word_counts, word_counts(sentence_tokens(df, True)))):
         query = stream(counts.document_stream(spark, str(tmp_path / "in"), df.schema, 1)).writeStream.outputMode("complete").format("memory").queryName(name).start()
         query.processAllAvailable()
         query.stop()
         assert {tuple(r) for r in spark.table(name).collect()} == {tuple(r) for r in batch.collect()}
+
+
+def test_side_tables(spark):
+    assert [tuple(r) for r in readers.hints(lines(spark, "Set\tnoun, verb\t0.5", "x\ty")).collect()] == [("set", "Set", ["noun", "verb"], 0.5)]
+    assert [tuple(r) for r in readers.pronunciations(lines(spark, "Cat\tkæt", "Cat\tkat", "x")).collect()] == [("cat", "Cat", "kat")]
+    assert {r.key for r in readers.keyword_list(lines(spark, "Cat ", "cat", "", "dog")).collect()} == {"cat", "dog"}
+    fields = readers.senses(lines(spark, "word=Ｃａｔ\tsynonym=kitty\tnoun=a ﬁne pet\tsynonym=puss"))
+    assert [tuple(r) for r in readers.related_fields(fields).collect()] == [("cat", "Cat", "synonym", "kitty, puss")]

@@ -44,8 +44,26 @@ def test_format_and_cut(spark):
     assert one(spark, t.cut_width(F.lit("あいう"), 4)) == "あい…" and one(spark, t.cut_width(F.lit("ab"), 4)) == "ab"
 
 
+def test_plain_text(spark):
+    assert one(spark, t.normalize_text(F.lit("ｆｕｌｌ ❛x❜ „y‟ ‒–⁃−➖⸺ ﬁ"))) == "full 'x' \"y\" ------ fi"
+    assert one(spark, t.clean_sentence(F.lit(" ・- * a  b "))) == "* a b" and one(spark, t.clean_sentence(F.lit("-*・ x"))) == "x"
+    assert one(spark, t.word_id(F.lit("ab c-d/é~%"))) == "ab_c-d/~C3~A9~~25"
+    assert [one(spark, t.key_prefix(F.lit(k))) for k in ("abc", "Abc", "1", "é")] == ["a", "_", "_", "_"]
+    assert [one(spark, t.is_safe_text(F.lit(k))) for k in ("a cat 猫ー。", "é", "a{b", "a\tb")] == [True, False, False, False]
+    assert one(spark, t.sanitize(F.lit("a\tக😀 б猫"))) == "a □□ б猫"
+
+
+def test_sentence_keys_tell_words_apart(spark):
+    words = [f"w{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"]
+    keys = [r.k for r in spark.createDataFrame([(w,) for w in words], "w string").select(t.sentence_key(F.col("w")).alias("k")).collect()]
+    assert all(len(k) == 1 for k in keys) and len(set(keys)) > 970
+    assert len(one(spark, t.sentence_key(F.lit("Don't  stop, 12 go!")))) == 3
+
+
 def test_variants_and_stems(spark):
     assert "color" in one(spark, t.spell_variants(F.lit("colour"))) and "colour" in one(spark, t.spell_variants(F.lit("color")))
+    for word, other in (("colonised", "colonized"), ("organisation", "organization"), ("practice", "practise"), ("travel", "travell"), ("center", "centre"), ("catalog", "catalogue")):
+        assert other in one(spark, t.spell_variants(F.lit(word))) and word in one(spark, t.spell_variants(F.lit(other)))
     assert "happy" in one(spark, t.derivative_stems(F.lit("happiness")))
 
 
@@ -87,16 +105,16 @@ def docs(spark):
 
 
 def test_ngram_counts(docs):
-    got = {r.phrase: r.cnt for r in corpus.ngram_counts(docs, 2).collect()}
+    got = {r.phrase: r.cnt for r in corpus.ngram_counts(corpus.sentence_tokens(docs, False), 2).collect()}
     assert len(got) == 27
     assert {k: got[k] for k in ("cat", "the", "the cat", "The", "The cat", "A", "A cat", "a", "dogs", "dogs run")} == {"cat": 3, "the": 2, "the cat": 2, "The": 1, "The cat": 1, "A": 1, "A cat": 1, "a": 1, "dogs": 1, "dogs run": 1}
-    assert tuple(corpus.totals(docs).first()) == (3, 4, 16)
+    assert tuple(corpus.totals(corpus.sentence_tokens(docs, False)).first()) == (3, 4, 16)
 
 
 def test_long_documents_count_whole(spark):
     long = spark.createDataFrame([(7, "\n".join(f"word{i} stands here" for i in range(1100)), "en")], "doc_id long, text string, lang string")
-    assert tuple(corpus.totals(long).first()) == (1, 1100, 3300)
-    assert {r.word: r.cnt for r in corpus.word_counts(long).where("word in ('stands', 'word1099')").collect()} == {"stands": 1100, "word1099": 1}
+    assert tuple(corpus.totals(corpus.sentence_tokens(long, False)).first()) == (1, 1100, 3300)
+    assert {r.word: r.cnt for r in corpus.word_counts(corpus.sentence_tokens(long, True)).where("word in ('stands', 'word1099')").collect()} == {"stands": 1100, "word1099": 1}
     assert tk.document_sentences(long, cap=64).count() == 64
 
 
@@ -115,9 +133,10 @@ def test_postings_of_long_documents(spark, tmp_path):
 
 
 def test_cooccurrences(docs, spark):
-    counts = corpus.word_counts(docs)
+    lists = corpus.document_words(docs)
+    counts = corpus.word_counts(corpus.each_sentence(lists))
     assert {r.word: r.cnt for r in counts.collect()} == {"the": 2, "cat": 3, "sat": 1, "on": 1, "mat": 1, "ran": 1, "a": 1, "and": 1, "dog": 1, "dogs": 1, "run": 1}
-    got = {(r.word, r.cooc): r.score for r in corpus.cooccurrences(docs, counts, 0).collect()}
+    got = {(r.word, r.cooc): r.score for r in corpus.cooccurrences(lists, counts, 0).collect()}
     assert {k[1]: v for k, v in got.items() if k[0] == "cat"} == {"the": 2000, "sat": 1407, "on": 1378, "ran": 1367, "mat": 1332, "a": 1000, "and": 1000, "dog": 902}
     assert {k[1]: v for k, v in got.items() if k[0] == "a"} == {"cat": 1000, "and": 950, "dog": 857}
 
@@ -139,11 +158,11 @@ def test_association(spark):
 
 
 def test_bleu(spark):
-    pairs = spark.createDataFrame([(1, "the cat sat on mat".split())], "id long, words array<string>")
-    refs = spark.createDataFrame([(1, 1, "the cat sat on the mat".split()), (1, 2, "a cat sat".split())], "id long, ref long, words array<string>")
-    r = similarity.bleu(pairs, refs, 3).first()
+    candidate = lambda words: spark.createDataFrame([(1, "k", words)], "id long, key string, words array<string>")
+    refs = spark.createDataFrame([("k", "the cat sat on the mat".split()), ("k", "a cat sat".split())], "key string, words array<string>")
+    r = similarity.bleu(candidate("the cat sat on mat".split()), refs, 3).first()
     assert (round(r.bleu, 6), round(r.precision, 6)) == (0.649827, 0.805556)
-    r = similarity.bleu(spark.createDataFrame([(1, ["the"] * 3)], "id long, words array<string>"), spark.createDataFrame([(1, 1, ["the", "cat"])], "id long, ref long, words array<string>"), 2).first()
+    r = similarity.bleu(candidate(["the"] * 3), spark.createDataFrame([("k", ["the", "cat"])], "key string, words array<string>"), 2).first()
     assert (r.bleu, round(r.precision, 6)) == (0.0, 0.166667)
 
 
@@ -233,5 +252,6 @@ def test_every_root_is_classified(spark, tmp_path, monkeypatch):
 
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
-    assert corpus.ngram_counts(none).count() == 0 and tuple(corpus.totals(none).first()) == (0, 0, 0)
-    assert corpus.cooccurrences(none, corpus.word_counts(none)).count() == 0
+    sentences, lists = corpus.sentence_tokens(none, True), corpus.document_words(none)
+    assert corpus.ngram_counts(sentences).count() == 0 and tuple(corpus.totals(sentences).first()) == (0, 0, 0)
+    assert corpus.cooccurrences(lists, corpus.word_counts(sentences)).count() == 0
