@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_word
 from ..operators import lexicon, search
-from ..operators.corpus import english, sentence_tokens
+from ..operators.corpus import english, sentence_tokens, sentence_total, word_counts
 from ..operators.tokenize import tokens
 from ..runtime import cut, table
 from . import sqltext as q
@@ -97,14 +97,20 @@ def good_words(spark, directory):
     return _rounded(lexicon.good_words(lexicon_entries(spark, directory), keywords(spark, directory)), "score")
 
 
+def _corpus_words(spark, directory):
+    """key, prob of the words of the English corpus, materialised."""
+    s = cut(sentence_tokens(english(table(spark, directory, "documents").select("doc_id", "text", "lang")), True))
+    return cut(word_counts(s).crossJoin(sentence_total(s)).select(F.col("word").alias("key"), (F.col("cnt") / F.col("n_sentences")).alias("prob")))
+
+
 def spelling_pairs(spark, directory):
-    """Headwords that differ as British and American spelling do."""
-    return _rounded(lexicon.spelling_pairs(lexicon_entries(spark, directory)), "ratio")
+    """Words of the English corpus that differ as British and American spelling do."""
+    return _rounded(lexicon.spelling_pairs(_corpus_words(spark, directory)), "ratio")
 
 
 def derivations(spark, directory):
-    """Headwords and the headwords they derive from."""
-    return _rounded(lexicon.derivations(lexicon_entries(spark, directory)), "ratio", digits=6)
+    """Words of the English corpus and the words they derive from."""
+    return _rounded(lexicon.derivations(_corpus_words(spark, directory)), "ratio", digits=6)
 
 
 def parent_closure(spark, directory):
@@ -319,13 +325,13 @@ SQL = {
       select e.key, round(prob * n_labels, 9) as score from e left join kw on kw.key = e.key
       where (kw.key is not null and prob > 1e-6) or (n_labels >= 3 and not contains(e.key, ' ') and prob >= 1e-5)""",
     "derivations": f"""
-      with {_E}, rules(s, b, n) as (values ('iness','y',3),('ness','',3),('ability','able',2),('ibility','ible',2),('ity','',3),('ity','e',3),('ization','ize',3),('ation','ate',3),('ation','',4),('ation','e',3),
+      with {q.ENGLISH_WORDS}, e as (select word as key, cnt / n_sentences as prob from word_cnt, n), rules(s, b, n) as (values ('iness','y',3),('ness','',3),('ability','able',2),('ibility','ible',2),('ity','',3),('ity','e',3),('ization','ize',3),('ation','ate',3),('ation','',4),('ation','e',3),
         ('ion','',4),('ion','e',4),('ment','',3),('er','',3),('er','e',3),('or','',4),('or','e',3),('ist','',4),('ism','',4),('ize','',4),('ify','',3),('ily','y',3),('ally','al',3),('ly','',3),('able','',3),('able','e',3),
         ('ible','',3),('ful','',3),('less','',3),('ous','',4),('ive','',4),('ive','e',3),('al','',4),('al','e',4),('ic','',4),('ish','',3),('ing','',3),('ing','e',3),('ed','',3),('ed','e',3)),
       x as (select distinct key, prob, key[:len(key) - len(s)] || b as stem from e join rules on ends_with(key, s) and len(key) >= len(s) + n where regexp_full_match(key, '[a-z]{{4,}}'))
       select x.key, stem, round(e.prob / x.prob, 6) as ratio from x join e on e.key = stem where stem <> x.key and e.prob / x.prob >= 0.1""",
     "spelling_pairs": f"""
-      with {_E}, p(a, b) as (values ('se','ze'),('sing','zing'),('sed','zed'),('ser','zer'),('sation','zation'),('ce','se'),('our','or'),('og','ogue'),('re','er'),('l','ll')),
+      with {q.ENGLISH_WORDS}, e as (select word as key, cnt / n_sentences as prob from word_cnt, n), p(a, b) as (values ('se','ze'),('sing','zing'),('sed','zed'),('ser','zer'),('sation','zation'),('ce','se'),('our','or'),('og','ogue'),('re','er'),('l','ll')),
       v as (select distinct key, prob, key[:len(key) - len(a)] || b as variant from (select * from e, p union all select e.*, b, a from e, p) where ends_with(key, a) and len(key) > len(a))
       select v.key, variant, round(least(v.prob, e.prob) / (v.prob + e.prob), 9) as ratio from v join e on e.key = variant""",
     "parent_closure": f"""
