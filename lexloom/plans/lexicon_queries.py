@@ -229,13 +229,6 @@ def search_partial(spark, directory):
     return search.partial(queries, keys(spark, directory))
 
 
-def search_in_context(spark, directory):
-    """Headwords around each word of the evaluation items whose id is divisible by 20."""
-    items = table(spark, directory, "eval_items").where("item_id % 20 = 0 and text is not null").select(F.col("item_id").alias("qid"), tokens(F.col("text"), True).alias("words"))
-    spans = items.select("qid", "words", F.posexplode("words").alias("at", "w"))
-    return search.in_context(spans, keys(spark, directory))
-
-
 def annotate_coverage(spark, directory):
     """How much of each English document the lexicon covers."""
     e = english(table(spark, directory, "documents").select("doc_id", "text", "lang"))
@@ -252,7 +245,7 @@ QUERIES = {
     for f in (
         lexicon_merge, lexicon_entries, key_ranks, translation_index, reverse_keys, inflection_index, co_translations, translation_votes, best_labels, good_words, spelling_pairs,
         derivations, parent_closure, form_owners, homophones, symbol_histogram, inverted_entries, kept_reasons, vocabulary_sections, initial_index, redirect_forms, label_items,
-        search_exact, search_prefix, search_suffix, search_contain, search_word, search_edit, grade_page, search_reverse, search_inflected, search_partial, search_in_context, annotate_coverage,
+        search_exact, search_prefix, search_suffix, search_contain, search_word, search_edit, grade_page, search_reverse, search_inflected, search_partial, annotate_coverage,
     )
 }
 
@@ -379,10 +372,6 @@ SQL = {
       l as (select qid, w, unnest([len(w) - 1, len(w) - 2]) as n from qs where len(w) between 2 and 6),
       p as (select qid, w, n, unnest(range(0, len(w) - n)) as start from l where n > 0)
       select qid, key, start::int as start, n::int as n from p join e on e.key = array_to_string(w[start + 1:start + n], ' ')""",
-    "search_in_context": f"""
-      with {_E}, i as (select item_id as qid, list_transform({q.tokens('text')}, lambda x: {q.normalize_word('x')}) as w from eval_items where item_id % 20 = 0 and text is not null),
-      g as (select distinct qid, array_to_string(w[a:a + n - 1], ' ') as key from (select qid, w, unnest(range(1, len(w) + 1)) as a from i) cross join (select unnest(range(1, 8)) as n) where a + n - 1 <= len(w))
-      select qid, key from g join e using (key)""",
     "annotate_coverage": f"""
       with {q.ENGLISH_TOKENS}, {_E},
       common as (select key, count(*) as n from (select unnest(words) as key from lowered) group by all having count(*) >= 20),
