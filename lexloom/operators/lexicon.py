@@ -177,14 +177,6 @@ def best_labels(rows: DataFrame, best: tuple[str, ...] = (), vetted: tuple[str,
     return stat.select("key", "label", cost.alias("cost")).withColumn("r", first).where("r = 1").drop("r")
 
 
-def good_words(entry: DataFrame, keywords: DataFrame, min_labels: int = 3) -> DataFrame:
-    """key, score of the headwords worth a place: keywords of some probability, and words of several sources."""
-    marked = entry.join(keywords.select("key").distinct().withColumn("kw", F.lit(True)), "key", "left")
-    many, single = F.col("n_labels") >= min_labels, ~F.contains("key", F.lit(" "))
-    keep = (F.col("kw").isNotNull() & (F.col("prob") > 1e-6)) | (many & single & (F.col("prob") >= 1e-5))
-    return marked.where(keep).select("key", (F.col("prob") * F.col("n_labels")).alias("score"))
-
-
 def spelling_pairs(entry: DataFrame) -> DataFrame:
     """key, variant, ratio: spellings of the other side that are headwords too, with the share of the less probable one."""
     each = entry.select("key", "prob", F.explode(spell_variants(F.col("key"))).alias("variant"))
@@ -225,17 +217,6 @@ def homophones(records: DataFrame) -> DataFrame:
     return each.groupBy("sound").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("w")), "\t").alias("words")).where("n > 1")
 
 
-def symbol_histogram(records: DataFrame, samples: int = 10) -> DataFrame:
-    """symbol, n, words: symbols of pronunciations with their first sample words."""
-    each = records.where("pronunciation is not null and word is not null").select(normalize_word(F.col("word")).alias("w"), F.explode(F.array_distinct(F.split("pronunciation", ""))).alias("symbol"))
-    each = each.where("symbol != '' and w != ''")
-    counts = each.groupBy("symbol").agg(F.count("*").alias("n"))
-    first = F.row_number().over(Window.partitionBy("symbol").orderBy("w"))
-    words = each.select("symbol", "w").distinct().withColumn("r", first).where(F.col("r") <= samples)
-    listing = words.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_list("w")), "\t").alias("words"))
-    return counts.join(listing, "symbol")
-
-
 def inverted_entries(rows: DataFrame) -> DataFrame:
     """translation, key, score: a dictionary turned round, scored by probability and by the translation's place."""
     index = rows.where("translation is not null").select("key", normalize_word(F.col("translation")).alias("translation"), "prob").where("translation != ''")
@@ -246,13 +227,6 @@ def inverted_entries(rows: DataFrame) -> DataFrame:
     return best.withColumn("score", score).select("translation", "key", "score")
 
 
-def kept_reasons(inverted: DataFrame, keywords: DataFrame, entry: DataFrame) -> DataFrame:
-    """reason, n: why entries of a turned dictionary stay, or that they don't."""
-    marked = inverted.join(keywords.select("key").distinct().withColumn("kw", F.lit(True)), "key", "left").join(entry.select("key", "prob", "n_labels"), "key")
-    reason = F.when(F.col("kw").isNotNull(), "keyword").when(F.col("prob") >= 1e-3, "frequent").when((F.col("prob") >= 1e-5) & (F.col("n_labels") >= 2), "attested").otherwise("dropped")
-    return marked.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
 def sections(scores: DataFrame, size: int = 100) -> DataFrame:
     """section, at, key: ranked headwords in sections of `size`."""
     r = ranked(scores)

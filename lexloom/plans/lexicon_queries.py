@@ -92,11 +92,6 @@ def best_labels(spark, directory):
     return lexicon.best_labels(rows(spark, directory), ("ed",), ("wn", "we"))
 
 
-def good_words(spark, directory):
-    """Headwords worth a place in a small dictionary."""
-    return _rounded(lexicon.good_words(lexicon_entries(spark, directory), keywords(spark, directory)), "score")
-
-
 def _corpus_words(spark, directory):
     """key, prob of the words of the English corpus, materialised."""
     s = cut(sentence_tokens(english(table(spark, directory, "documents").select("doc_id", "text", "lang")), True))
@@ -128,21 +123,11 @@ def homophones(spark, directory):
     return lexicon.homophones(table(spark, directory, "entry_records"))
 
 
-def symbol_histogram(spark, directory):
-    """Symbols of the pronunciations, with sample words."""
-    return lexicon.symbol_histogram(table(spark, directory, "entry_records"))
-
-
 def inverted_entries(spark, directory):
     """The dictionary turned round."""
     return _rounded(lexicon.inverted_entries(rows(spark, directory)), "score")
 
 
-def kept_reasons(spark, directory):
-    """Why entries of the turned dictionary stay."""
-    return lexicon.kept_reasons(lexicon.inverted_entries(rows(spark, directory)), keywords(spark, directory), lexicon_entries(spark, directory))
-
-
 def vocabulary_sections(spark, directory):
     """Ranked headwords in sections of a hundred."""
     return lexicon.sections(_scores(spark, directory))
@@ -243,8 +228,8 @@ def annotate_coverage(spark, directory):
 QUERIES = {
     f.__name__: f
     for f in (
-        lexicon_merge, lexicon_entries, key_ranks, translation_index, reverse_keys, inflection_index, co_translations, translation_votes, best_labels, good_words, spelling_pairs,
-        derivations, parent_closure, form_owners, homophones, symbol_histogram, inverted_entries, kept_reasons, vocabulary_sections, initial_index, redirect_forms, label_items,
+        lexicon_merge, lexicon_entries, key_ranks, translation_index, reverse_keys, inflection_index, co_translations, translation_votes, best_labels, spelling_pairs,
+        derivations, parent_closure, form_owners, homophones, inverted_entries, vocabulary_sections, initial_index, redirect_forms, label_items,
         search_exact, search_prefix, search_suffix, search_contain, search_word, search_edit, grade_page, search_reverse, search_inflected, search_partial, annotate_coverage,
     )
 }
@@ -313,10 +298,6 @@ SQL = {
         select key, label, greatest(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\s\\x0b\\p{{Z}}]+'), lambda x: x <> '')), 1) as w from r) group by all),
       c as (select key, label, round((abs(ln(5) - ln(n)) + 0.5) * (far + 1) * (case when label = 'ed' then 0.8 when label in ('wn', 'we') then 1.0 else 1.4 end), 9) as cost from s)
       select key, label, cost from c qualify row_number() over (partition by key order by cost, label nulls first) = 1""",
-    "good_words": f"""
-      with {_E}, kw as (select distinct {q.normalize_word('word')} as key from word_links where {q.normalize_word('word')} <> '')
-      select e.key, round(prob * n_labels, 9) as score from e left join kw on kw.key = e.key
-      where (kw.key is not null and prob > 1e-6) or (n_labels >= 3 and not contains(e.key, ' ') and prob >= 1e-5)""",
     "derivations": f"""
       with {q.ENGLISH_WORDS}, e as (select word as key, cnt / n_sentences as prob from word_cnt, n), rules(s, b, n) as (values ('iness','y',3),('ness','',3),('ability','able',2),('ibility','ible',2),('ity','',3),('ity','e',3),('ization','ize',3),('ation','ate',3),('ation','',4),('ation','e',3),
         ('ion','',4),('ion','e',4),('ment','',3),('er','',3),('er','e',3),('or','',4),('or','e',3),('ist','',4),('ism','',4),('ize','',4),('ify','',3),('ily','y',3),('ally','al',3),('ly','',3),('able','',3),('able','e',3),
@@ -337,17 +318,7 @@ SQL = {
     "homophones": f"""
       with s as (select distinct regexp_replace(pronunciation, '[ˈˌ ]', '', 'g') as sound, {q.normalize_word('word')} as w from entry_records where regexp_matches(pronunciation, '\\p{{L}}') and {q.normalize_word('word')} <> '')
       select sound, count(*) as n, string_agg(w, chr(9) order by w) as words from s group by all having count(*) > 1""",
-    "symbol_histogram": f"""
-      with s as (select w, unnest(list_distinct(string_split(p, ''))) as symbol from (select {q.normalize_word('word')} as w, pronunciation as p from entry_records where pronunciation is not null and word is not null) where w <> ''),
-      c as (select symbol, count(*) as n from s where symbol <> '' group by all),
-      f as (select symbol, w from (select distinct symbol, w from s where symbol <> '') qualify row_number() over (partition by symbol order by w) <= 10)
-      select symbol, n, words from c join (select symbol, string_agg(w, chr(9) order by w) as words from f group by all) using (symbol)""",
     "inverted_entries": f"with {_TRAN} select translation, key, round(greatest(0.1, sqrt(max(own) over (partition by key))) + 0.5 * pow(0.8, row_number() over (partition by key order by own desc, translation) - 1), 9) as score from t",
-    "kept_reasons": f"""
-      with {_TRAN}, e as (select key, max(prob) as prob, count(distinct label) as n_labels from r group by key),
-      kw as (select distinct {q.normalize_word('word')} as key from word_links)
-      select case when kw.key is not null then 'keyword' when prob >= 1e-3 then 'frequent' when prob >= 1e-5 and n_labels >= 2 then 'attested' else 'dropped' end as reason, count(*) as n
-      from ti left join kw on kw.key = ti.key join e on e.key = ti.key group by all""",
     "vocabulary_sections": f"with {_KEYS} select (rank - 1) // 100 as section, (rank - 1) % 100 as at, key from k",
     "initial_index": f"with {_E} select case when regexp_matches(upper(key[1]), '^[A-Z]$') then upper(key[1]) else '#' end as initial, count(*) as n, min(key) as first, max(key) as last from e group by all",
     "redirect_forms": f"""
