@@ -249,10 +249,14 @@ def same_look(rows: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     united = unify(long.select(F.struct("field", "id", _digest("value").alias("raw")).alias("row_key"), "value"))
     keyed = united.select("row_key.*", _digest(F.replace("unified", F.lit(" "), F.lit(""))).alias("look"))
     differing = keyed.groupBy("field", "look").agg(F.min("raw").alias("least"), F.max("raw").alias("most")).where("least != most").select("field", "look")
-    members = keyed.join(differing, ["field", "look"])
-    a = members.select("field", "look", F.col("id").alias("id_a"), F.col("raw").alias("raw_a"))
-    b = members.select("field", "look", F.col("id").alias("id_b"), F.col("raw").alias("raw_b"))
-    return a.join(b, ["field", "look"]).where("id_a < id_b and raw_a != raw_b").select("field", "id_a", "id_b")
+    members = cut(keyed.join(differing, ["field", "look"]))
+    # spellings are paired first, so that rows of one spelling never meet each other
+    spelling = members.select("field", "look", "raw").distinct()
+    pairs = spelling.withColumnRenamed("raw", "raw_a").join(spelling.withColumnRenamed("raw", "raw_b"), ["field", "look"]).where("raw_a < raw_b")
+    a = members.withColumnsRenamed({"id": "a", "raw": "raw_a"})
+    b = members.withColumnsRenamed({"id": "b", "raw": "raw_b"})
+    met = pairs.join(a, ["field", "look", "raw_a"]).join(b, ["field", "look", "raw_b"])
+    return met.select("field", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
 
 
 def _digest(column) -> Column:

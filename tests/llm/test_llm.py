@@ -149,7 +149,7 @@ def test_leaks(spark):
     in_docs, in_items = [(a, runs(t)) for a, t in docs], [(b, runs(u)) for b, u in items]
     plain = {(a, b) for a, t in in_docs for b, u in in_items if t & u}
     assert got == plain and {(1, 1), (7, 5), (8, 1)} <= got and not {x for x in got if x[0] in (2, 3)}
-    assert {tuple(r) for r in leak.find_leaks(d, i, block_words=25).collect()} == plain
+    assert {tuple(r) for r in leak.find_leaks(d, i, block_windows=5).collect()} == plain
     changed = {tuple(r) for r in leak.find_leaks(d, i, exchanged=True).collect()}
     assert changed == {(6, 1), (6, 5)}
     assert leak.find_leaks(d.limit(0), i).count() == 0 and leak.find_leaks(d, i.limit(0)).count() == 0
@@ -161,8 +161,45 @@ def test_leaks_with_unseen_names_and_units(spark):
     docs = [(1, item.replace("Alice", "Zoltan")), (2, item.replace("miles", "km")), (3, item.replace("Alice", "Zoltan").replace("miles", "km").replace("12", "31")), (4, item), (5, item.replace("mill", "barn"))]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     i = spark.createDataFrame([(1, item), (2, far)], "item_id long, text string")
-    for block in (1_000_000, 20):
-        assert {tuple(r) for r in leak.find_leaks(d, i, window=13, exchanged=True, block_words=block).collect()} == {(1, 1), (2, 1), (3, 1)}
+    for block in (1_000_000, 3):
+        assert {tuple(r) for r in leak.find_leaks(d, i, window=13, exchanged=True, block_windows=block).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_recall_of_planted_exchanges(spark):
+    rng = random.Random(8)
+    plain = [f"{a}{b}{c}" for a in ("ro", "ta", "mi", "ne") for b in ("la", "ki", "su") for c in ("m", "r", "n", "st")]
+    name = lambda: "".join(rng.choice(("Bal", "Dor", "Kel", "Mar", "Zan"))) + "".join(rng.choice("aeiou") + rng.choice("bdgklmnrst") for _ in range(2))
+
+    def question():
+        body = [rng.choice(plain) for _ in range(rng.randint(14, 22))]
+        slots = rng.sample(range(1, len(body)), 4)
+        return body, slots, rng.random() < 0.4  # whether a name begins it
+
+    def fill(body, slots, led, values):
+        out = list(body)
+        for at, value in zip(slots, values):
+            out[at] = value
+        return (values[4] if led else out[0].capitalize()) + " " + " ".join(out[1:]) + "."
+
+    values = lambda: [name(), name(), str(rng.randint(2, 999)), rng.choice(["km", "miles", "kg", "hours", "days"]), name()]
+    asked, docs = [], []
+    for i in range(60):
+        form, one = question(), values()
+        other = values()
+        while set(one) & set(other) or len(set(one)) < 5 or len(set(other)) < 5:
+            one, other = values(), values()
+        asked.append((i, fill(*form, one)))
+        docs.append((i, "It is said. " + fill(*form, other) + " So it went."))
+    found = leak.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string"), exchanged=True)
+    got = {tuple(r) for r in found.collect()}
+    assert len([p for p in got if p[0] == p[1]]) >= 0.9 * len(asked) and all(a == b for a, b in got)
+
+
+def test_hot_looks_pair_spellings_only(spark):
+    rows = [(i, "cat") for i in range(400)] + [(1000 + i, "cаt") for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, value string")
+    got = charforms.same_look(df, "id", ["value"])
+    assert got.count() == got.distinct().count() == 1200 and got.where("id_a >= id_b").count() == 0
 
 
 def shared(texts, least):
