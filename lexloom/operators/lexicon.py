@@ -86,6 +86,39 @@ def translation_index(rows: DataFrame) -> DataFrame:
     return best.withColumn("score", prob * F.pow(F.lit(DECAY), place.cast("double"))).select("translation", "key", "score")
 
 
+# Endings of Japanese translations that are looked up without them, in order, and what phrases and short forms count.
+SHORT_FORMS = (
+    r"([\p{IsHan}\p{IsKatakana}ー]{2,})(する|すること|される|されること|をする)$",
+    r"([\p{IsHan}\p{IsKatakana}ー]{2,})(的|的な|的に)$",
+    r"([\p{IsHan}]{2,})(が|の|を|に|へ|と|より|から|で|や|な|なる|たる)$",
+)
+PHRASE_WEIGHT, SHORT_WEIGHT = 0.5, 0.8
+
+
+def full_translation_index(rows: DataFrame, phrases: DataFrame, ages: DataFrame) -> DataFrame:
+    """translation (key form), key, score: headwords by their translations, then by those of their phrases, and by short forms.
+
+    phrases: key, translation; ages: key, aoa (20 where it is missing). The probability counts by how early the headword is learnt;
+    each further translation of a headword counts 0.98 of the one before, phrases half, short forms 0.8 of their long ones.
+    """
+    entry = rows.groupBy("key").agg(F.max("prob").alias("prob"))
+    own = rows.where("translation is not null").groupBy("key", "translation").agg(F.max("prob").alias("own"))
+    by = Window.partitionBy("key")
+    words = own.select("key", "translation", F.lit(0).alias("g"), F.row_number().over(by.orderBy(F.desc("own"), "translation")).alias("place"), F.lit(1.0).alias("w"))
+    of_phrases = phrases.distinct().join(entry.select("key"), "key", "left_semi")
+    phrase_rows = of_phrases.select("key", "translation", F.lit(1).alias("g"), F.row_number().over(by.orderBy("translation")).alias("place"), F.lit(PHRASE_WEIGHT).alias("w"))
+    t = F.col("translation")
+    form = lambda sub, text, w: F.struct(F.lit(sub).alias("sub"), text.alias("translation"), (F.col("w") * w).alias("w"))
+    forms = [form(0, t, 1.0), *(F.when(t.rlike(p), form(n, F.left(t, F.char_length(t) - F.char_length(F.regexp_extract(t, p, 2))), SHORT_WEIGHT)) for n, p in enumerate(SHORT_FORMS, 1))]
+    each = words.unionByName(phrase_rows).select("key", "g", "place", F.explode(F.array_compact(F.array(*forms))).alias("f"))
+    named = each.select("key", "g", "place", "f.sub", normalize_word(F.col("f.translation")).alias("translation"), "f.w").where("translation != ''")
+    once = named.groupBy("key", "translation").agg(F.min(F.struct("g", "place", "sub", "w")).alias("at")).select("key", "translation", "at.*")
+    i = F.row_number().over(by.orderBy("g", "place", "sub")) - 1
+    scored = once.withColumn("i", i).join(entry, "key").join(ages, "key", "left")
+    score = F.col("prob") * (30 - F.least(F.coalesce("aoa", F.lit(20.0)), F.lit(20.0))) / 10 * F.col("w") * F.pow(F.lit(DECAY), F.col("i").cast("double"))
+    return scored.select("translation", "key", score.alias("score"))
+
+
 def listed(index: DataFrame, by: str, member: str, score: str = "score") -> DataFrame:
     """One row per `by`: n and members, joined by tabs from the best score down; ties by member."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.round(score, 12)).alias("s"), F.col(member).alias("m"))))

@@ -42,18 +42,24 @@ def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sample(df: DataFrame, id_col: str, ratio: float, most: int | None = None, seed: int = 19780211) -> DataFrame:
-    """Rows chosen by a seeded hash of their id, the same on every cluster; `most` rows at most."""
-    chosen = df.where(F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1_000_000)) < int(ratio * 1_000_000))
+    """Rows chosen by a seeded digest of their id, the same on every cluster; `most` rows at most."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string")))
+    chosen = df.where(F.conv(F.left(digest, F.lit(8)), 16, 10).cast("bigint") % 1_000_000 < int(ratio * 1_000_000))
     return chosen.limit(most) if most is not None else chosen
 
 
-def tokenised_documents(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
-    """doc (file order), sentences array<array<string>>: a document a line, sentences parted by tabs, words by blanks; `cap` cuts documents."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("doc"), "value")
+def tokenised_lines(lines: DataFrame, cap: int | None = None) -> DataFrame:
+    """The columns of `lines` but value, sentences array<array<string>>: a document a line (column value), sentences parted by tabs,
+    words by blanks; `cap` cuts documents; lines without a word are left out."""
     words = lambda s: F.filter(F.split(s, " "), lambda w: w != "")
     parts = F.split("value", "\t")
     sentences = F.filter(F.transform(F.slice(parts, 1, cap) if cap is not None else parts, words), lambda w: F.size(w) > 0)
-    return lines.select("doc", sentences.alias("sentences")).where(F.size("sentences") > 0)
+    return lines.withColumn("sentences", sentences).drop("value").where(F.size("sentences") > 0)
+
+
+def tokenised_documents(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
+    """doc (file order), sentences of a file of tokenised documents."""
+    return tokenised_lines(spark.read.text(path).select(F.monotonically_increasing_id().alias("doc"), "value"), cap)
 
 
 def sense_fields(line: Column) -> Column:
@@ -113,7 +119,7 @@ def hints(lines: DataFrame) -> DataFrame:
 def pronunciations(lines: DataFrame) -> DataFrame:
     """key, word, ipa of lines of two fields; of several lines for a word the first in order of the sound counts."""
     f = lines.select(F.split(trim(F.col("value")), "\t").alias("f")).where(F.size("f") == 2)
-    rows = f.select(F.get("f", F.lit(0)).alias("word"), trim(F.get("f", F.lit(1))).alias("ipa")).where("word != '' and ipa != ''")
+    rows = f.select(trim(F.get("f", F.lit(0))).alias("word"), trim(F.get("f", F.lit(1))).alias("ipa")).where("word != '' and ipa != ''")
     return rows.groupBy("word").agg(F.min("ipa").alias("ipa")).select(normalize_word(F.col("word")).alias("key"), "word", "ipa")
 
 
