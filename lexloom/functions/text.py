@@ -167,20 +167,32 @@ def spell_variants(word: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(*swaps)))
 
 
+def display_width(char: Column) -> Column:
+    """Columns that a character takes: two beyond the Latin blocks."""
+    return F.when(F.ascii(char) > 256, 2).otherwise(1)
+
+
 def cut_width(text: Column, width: int) -> Column:
-    """The longest start of a text within a display width; wide characters count two, and '…' marks a cut."""
-    chars = F.split(text, "")
-    size = lambda c: F.when(c.rlike("[\\u1100-\\u115F\\u2E80-\\uA4CF\\uAC00-\\uD7A3\\uF900-\\uFAFF\\uFE30-\\uFE6F\\uFF00-\\uFF60\\uFFE0-\\uFFE6]"), 2).otherwise(1)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("used"), F.lit(False).alias("full"))
+    """The start of a text up to the character that passes a display width, with '...' where more follows."""
+    start = F.struct(F.lit("").alias("out"), F.lit(width).alias("left"), F.lit(False).alias("full"))
 
     def step(acc: Column, c: Column) -> Column:
-        used = acc["used"] + size(c)
-        fits = ~acc["full"] & (used <= width)
-        return F.struct(
-            F.when(fits, F.concat(acc["out"], c)).otherwise(acc["out"]).alias("out"), F.when(fits, used).otherwise(acc["used"]).alias("used"), (~fits).alias("full")
-        )
+        full = acc["full"] | (acc["left"] < 0)
+        return F.struct(F.when(full, acc["out"]).otherwise(F.concat(acc["out"], c)).alias("out"), (acc["left"] - display_width(c)).alias("left"), full.alias("full"))
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), start, step, lambda acc: F.when(acc["full"], F.concat(acc["out"], F.lit("..."))).otherwise(acc["out"]))
+
+
+def words_within(words: Column, width: int, least: int) -> Column:
+    """The first words that a display width holds, two columns between them, but `least` of them at any rate."""
+    size = lambda w: F.aggregate(F.filter(F.split(w, ""), lambda c: c != ""), F.lit(0), lambda n, c: n + display_width(c))
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("used"), F.lit(False).alias("full"))
+
+    def step(acc: Column, w: Column) -> Column:
+        full = acc["full"] | ((F.size(acc["out"]) >= least) & (acc["used"] + size(w) > width))
+        return F.struct(F.when(full, acc["out"]).otherwise(F.array_append(acc["out"], w)).alias("out"), (acc["used"] + size(w) + 2).alias("used"), full.alias("full"))
 
-    return F.aggregate(chars, start, step, lambda acc: F.when(acc["full"], F.concat(acc["out"], F.lit("…"))).otherwise(acc["out"]))
+    return F.aggregate(F.filter(F.transform(words, trim), lambda w: w != ""), start, step, lambda acc: acc["out"])
 
 
 def sentence_key(text: Column) -> Column:

@@ -32,6 +32,17 @@ def reject_reason(source: Column, target: Column) -> Column:
     )
 
 
+def duplicated(pairs: DataFrame) -> DataFrame:
+    """Marks (duplicate: 'source', 'target' or null) pairs whose source, or whose target among the others, an earlier pair (by id) has in
+    any case; only ids meet the texts again."""
+    low = pairs.select("id", F.lower("source").alias("s"), F.lower("target").alias("t"))
+    first = low.groupBy("s").agg(F.min(F.struct("id", "t")).alias("r")).select("r.*")
+    kept = first.groupBy("t").agg(F.min("id").alias("id")).select("id", F.lit(True).alias("kept"))
+    marked = pairs.join(first.select("id", F.lit(True).alias("first")), "id", "left").join(kept, "id", "left")
+    reason = F.when(F.col("first").isNull(), "source").when(F.col("kept").isNull(), "target")
+    return marked.withColumn("duplicate", reason).drop("first", "kept")
+
+
 def closeness(length: Column, best: int) -> Column:
     """1 at the best length, falling as the ratio does."""
     ratio = length / F.lit(best)

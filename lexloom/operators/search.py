@@ -176,7 +176,7 @@ def reverse_containing(queries: DataFrame, index: DataFrame, translations: DataF
     The index (translation, key, score) gives the candidates; one stays if any of its translations or of its phrases' (key,
     translation, in key form) contains a word of the query.
     """
-    words = queries.select("qid", F.explode(F.array_distinct(F.transform(F.split("q", ","), F.trim))).alias("w")).where("w != ''")
+    words = queries.select("qid", F.explode(F.array_distinct(F.transform(F.split("q", ","), lambda x: F.trim(x)))).alias("w")).where("w != ''")
     found = words.join(index, words["w"] == index["translation"]).groupBy("qid", "key").agg(F.max("score").alias("score"))
     asked = found.join(words, "qid")
     held = asked.join(translations, "key").where(F.contains("translation", "w")).groupBy("qid", "key").agg(F.max("score").alias("score"))

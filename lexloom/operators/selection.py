@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import java, normalize_word
+from ..functions.text import java, normalize_word, trim
 from .tokenize import ngrams
 
 # Verb endings that a Japanese entry may have behind a stem of its own.
@@ -210,3 +210,69 @@ def posted_sentences(queries: DataFrame, postings: DataFrame, sentences: DataFra
     """qid, id and the sentences' other columns, of the sentences posted under a phrase. postings: phrase, ids; sentences: id and more."""
     found = queries.join(postings, queries["q"] == postings["phrase"]).select("qid", F.explode("ids").alias("id")).distinct()
     return found.join(sentences, "id")
+
+
+def inversion_ladder(rows: DataFrame, told: DataFrame) -> DataFrame:
+    """translation, key, score, tran_prob: a dictionary turned round, each headword's translations taken as far as they are likely.
+
+    rows: key, place (from 0), translation, prob, tran_prob; told: key, translation (given by supplements). The first translation is
+    taken always, the second from a likelihood of 0.01 on, the third from 0.02, the fourth from 0.04, any from 0.1, and the first two
+    that a supplement has. The score adds the headword's probability, the place, the likelihood and the supplement.
+    """
+    marked = rows.where(F.col("translation") != F.col("key")).join(told.select("key", "translation").distinct().withColumn("told", F.lit(True)), ["key", "translation"], "left")
+    place, p, held = F.col("place"), F.col("tran_prob"), F.col("told").isNotNull()
+    taken = (place == 0) | ((place <= 1) & (p >= 0.01)) | ((place <= 2) & (p >= 0.02)) | ((place <= 3) & (p >= 0.04)) | (p >= 0.1) | (held & (place <= 1))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("place")) - 1
+    score = F.greatest(F.lit(0.1), F.sqrt("prob")) + 0.5 * F.pow(F.lit(0.8), rank.cast("double")) + F.pow(p, F.lit(0.75)) + F.when(held, 0.1).otherwise(0.0)
+    return marked.where(taken).withColumn("score", score).select("translation", "key", "score", "tran_prob")
+
+
+def word_relations(forms: DataFrame, edges: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """key, forms, parents, children, synonyms: what is related to a headword, each list parted by commas, synonyms by weight.
+
+    synonyms: key, at (order in which they were told), synonym; each told one weighs 0.98 of the one before, repeated ones add up.
+    """
+    listed = lambda df, by, member, name: df.groupBy(F.col(by).alias("key")).agg(F.array_join(F.array_sort(F.collect_set(member)), ",").alias(name))
+    weight = F.pow(F.lit(0.98), (F.row_number().over(Window.partitionBy("key").orderBy("at", "synonym")) - 1).cast("double"))
+    voted = synonyms.where("synonym != key").withColumn("w", weight).groupBy("key", "synonym").agg(F.sum(F.round("w", 9)).alias("w"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.round("w", 9)).alias("w"), "synonym")))
+    by_weight = voted.groupBy("key").agg(F.array_join(F.transform(ordered, lambda x: x["synonym"]), ",").alias("synonyms"))
+    parts = [listed(forms, "key", "form", "forms"), listed(edges, "child", "parent", "parents"), listed(edges, "parent", "child", "children"), by_weight]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, "key", "full")
+    return out.select("key", *(F.coalesce(c, F.lit("")).alias(c) for c in ("forms", "parents", "children", "synonyms")))
+
+
+def synset_feedback(rows: DataFrame) -> DataFrame:
+    """key, synset, translations (array, each once in order): what senses say of their synset's translations. rows: key, text."""
+    synset = F.regexp_extract("text", r"\[synset\]: ([-0-9a-z]+)", 1)
+    told = F.regexp_replace(F.regexp_extract("text", r"\[translation\]: ([^\[]+)", 1), r"\([^)]+\)", "")
+    members = F.array_distinct(F.filter(F.transform(F.split(told, ","), trim), lambda t: t != ""))
+    return rows.select("key", synset.alias("synset"), members.alias("translations")).where((F.col("synset") != "") & (F.size("translations") > 0))
+
+
+def merge_items(items: DataFrame, least: int = 4, middle: int = 6, most: int = 12, alike: float = 0.3) -> DataFrame:
+    """key, at, text, aux of the glosses that an entry shows: those of its best source, up to `most`; if they are fewer than `least`,
+    others while they are fewer than `middle`, unless their n-grams are those of glosses shown. items: key, at, main (boolean), text, words.
+
+    What is held of one entry is `most` of its main glosses and 4 x `most` of the others, so no entry fills a task.
+    """
+    by = Window.partitionBy("key", "main").orderBy("at")
+    near = items.withColumn("r", F.row_number().over(by)).where(F.col("r") <= F.when(F.col("main"), most).otherwise(4 * most))
+    grouped = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct((~F.col("main")).alias("aux"), "at", "text", "words"))).alias("all"))
+    main, rest = F.filter("all", lambda x: ~x["aux"]), F.filter("all", lambda x: x["aux"])
+    texts = F.transform(main, lambda x: x["words"])
+    grams = lambda w: [F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))) for n in (1, 2, 3)]
+    count = lambda xs, g: F.size(F.filter(xs, lambda x: x == g))
+
+    def precision(w: Column) -> Column:
+        parts, orders = [], F.least(F.size(w), F.lit(3))
+        for n, own in enumerate(grams(w)):
+            clip = F.aggregate(F.array_distinct(own), F.lit(0), lambda acc, g: acc + F.least(count(own, g), F.coalesce(F.array_max(F.transform(texts, lambda t: F.coalesce(count(grams(t)[n], g), F.lit(0)))), F.lit(0))))
+            parts.append(F.coalesce(clip / F.size(own), F.lit(0.0)))
+        return (parts[0] + parts[1] + parts[2]) / orders
+
+    fresh = F.filter(rest, lambda x: (F.size(main) == 0) | ((F.size(x["words"]) > 0) & (precision(x["words"]) < alike)))
+    extra = F.when(F.size(main) < least, F.slice(fresh, F.lit(1), F.greatest(F.lit(middle) - F.size(main), F.lit(0)))).otherwise(F.slice(fresh, F.lit(1), F.lit(0)))
+    return grouped.select("key", F.explode(F.concat(main, extra)).alias("x")).select("key", "x.at", "x.text", "x.aux")

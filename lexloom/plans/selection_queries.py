@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_word
+from ..functions.text import cut_width, is_stop_word, normalize_word
 from ..operators import examples, lexicon, selection
 from ..operators.corpus import english, sentence_tokens
+from ..operators.tokenize import tokens
 from ..runtime import cut, table
 from . import sqltext as q
 from .enrich_queries import SQL as ENRICH_SQL
@@ -180,11 +182,51 @@ def tran_thesaurus(spark, directory):
     return lexicon.thesaurus(cut(lexicon.co_translations(t)))
 
 
+def inversion_ladder(spark, directory):
+    """The dictionary turned round as far as translations are likely."""
+    r = _turned(spark, directory)
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("tran_prob"), "translation")) - 1
+    prob = lexicon_entries(spark, directory).select("key", "prob")
+    told = _translations(rows(spark, directory).where("label = 'wn'"))
+    found = selection.inversion_ladder(r.withColumn("place", place).join(prob, "key"), told)
+    return found.select("translation", "key", F.round("score", 9).alias("score"))
+
+
+def word_relations(spark, directory):
+    """Forms, parents, children and synonyms of headwords; translations stand for synonyms."""
+    s = table(spark, directory, "senses").where("translation is not null").select(normalize_word(F.col("word")).alias("key"), F.col("sense_id").alias("at"), normalize_word(F.col("translation")).alias("synonym"))
+    return selection.word_relations(lexicon.inflection_index(rows(spark, directory)), edges(spark, directory), s.where("key != '' and synonym != ''"))
+
+
+def synset_feedback(spark, directory):
+    """Translations that senses give of their synsets."""
+    r = table(spark, directory, "senses").where("text is not null").select("sense_id", normalize_word(F.col("word")).alias("key"), F.concat("text", F.lit(" [-] [synset]: "), F.col("sense_id").cast("string"), F.lit("-n [-] [translation]: "), F.coalesce("translation", F.lit("")), F.lit("(x), cat")).alias("text"))
+    return selection.synset_feedback(r.where("key != ''")).select("key", "synset", F.array_join("translations", "|").alias("translations"))
+
+
+def ja_stop_words(spark, directory):
+    """Target terms of the parallel lines that carry no meaning of their own."""
+    terms = pairs(spark, directory).select(F.explode(F.regexp_extract_all("target", F.lit(r"[\p{IsHan}]+|[\p{IsHiragana}]+|[\p{IsKatakana}ー]+|[A-Za-z0-9]+"), F.lit(0))).alias("term"))
+    return terms.distinct().select("term", is_stop_word(F.col("term"), "ja").alias("stop"))
+
+
+def cut_texts(spark, directory):
+    """Glosses cut to a display width, and the translations of a headword that one line holds."""
+    return table(spark, directory, "senses").where("text is not null").select("sense_id", cut_width(F.col("text"), 30).alias("text"))
+
+
+def shown_items(spark, directory):
+    """The glosses that an entry shows."""
+    s = table(spark, directory, "senses").where("text is not null").select(normalize_word(F.col("word")).alias("key"), F.col("sense_id").alias("at"), (F.lower(F.trim("label")) == "wn").alias("main"), "text", tokens(F.col("text"), True).alias("words"))
+    return selection.merge_items(s.where("key != '' and main is not null"), 4, 6, 12).select("key", "at", "aux")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         kept_entries, target_lists, good_words, good_entries, cluster_surfaces, entry_poses, first_listed, first_annotations, quiz_window, vocabulary_ages, symbol_histogram, optional_homophones,
         chosen_readings, inflection_export, search_keys, translation_sets, sense_votes, reverse_senses, shared_translations, keyword_spans, posted_sentences, tran_thesaurus,
+        inversion_ladder, word_relations, synset_feedback, ja_stop_words, cut_texts, shown_items,
     )
 }
 
@@ -283,4 +325,35 @@ SQL = {
       c as (select a, b, round(n + len(regexp_replace(b, '[^\\p{{Han}}]', '', 'g')) * 0.01 + len(regexp_replace(b, '[^\\p{{Katakana}}]', '', 'g')) * 0.001 + len(b) * 0.0001, 6) as c from p),
       o as (select *, row_number() over (partition by a order by c desc, b) as place from c)
       select a as translation, place::int as place, b as other from o x where not exists (from o y where y.a = x.a and y.place <= x.place and y.place > 3 and y.c < (y.place - 1) / 2 + 1)""",
+    "inversion_ladder": f"""
+      with {_E}, {_T.replace("distinct ", "")},
+      i as (select translation, key, count(*) / sum(count(*)) over (partition by key) / 10 as tp from t group by key, translation),
+      p as (select *, row_number() over (partition by key order by tp desc, translation) - 1 as place from i),
+      wn as (select distinct key, {q.normalize_word('translation')} as translation from r where label = 'wn' and translation is not null),
+      m as (select p.*, exists (from wn where wn.key = p.key and wn.translation = p.translation) as told from p where translation <> key),
+      k as (select *, row_number() over (partition by key order by place) - 1 as rank from m
+        where place = 0 or (place <= 1 and tp >= 0.01) or (place <= 2 and tp >= 0.02) or (place <= 3 and tp >= 0.04) or tp >= 0.1 or (told and place <= 1))
+      select translation, k.key, round(greatest(0.1, sqrt(prob)) + 0.5 * pow(0.8::double, rank) + pow(tp, 0.75) + (case when told then 0.1 else 0 end), 9) as score from k join e on e.key = k.key""",
+    "word_relations": f"""
+      with {_R}, {_INFL}, {_EDGES},
+      s as (select {q.normalize_word('word')} as key, sense_id, {q.normalize_word('translation')} as syn from senses where translation is not null and {q.normalize_word('word')} <> ''),
+      sw as (select key, syn, round(pow(0.98::double, row_number() over (partition by key order by sense_id, syn) - 1), 9) as w from s where syn <> '' and syn <> key),
+      v as (select key, syn, round(sum(w), 9) as w from sw group by all),
+      a as (select key, string_agg(form, ',' order by form) as forms from (select distinct key, form from ii) group by all),
+      b as (select child as key, string_agg(parent, ',' order by parent) as parents from edges group by all),
+      c as (select parent as key, string_agg(child, ',' order by child) as children from edges group by all),
+      d as (select key, string_agg(syn, ',' order by w desc, syn) as synonyms from v group by all)
+      select key, coalesce(forms, '') as forms, coalesce(parents, '') as parents, coalesce(children, '') as children, coalesce(synonyms, '') as synonyms from a full join b using (key) full join c using (key) full join d using (key)""",
+    "synset_feedback": f"""
+      with r as (select {q.normalize_word('word')} as key, text || ' [-] [synset]: ' || sense_id || '-n [-] [translation]: ' || coalesce(translation, '') || '(x), cat' as text from senses where text is not null and {q.normalize_word('word')} <> ''),
+      m as (select key, regexp_extract(text, '\\[synset\\]: ([-0-9a-z]+)', 1) as synset, list_filter(list_transform(string_split(regexp_replace(regexp_extract(text, '\\[translation\\]: ([^\\[]+)', 1), '\\([^)]+\\)', '', 'g'), ','), lambda x: {q.trim('x')}), lambda x: x <> '') as t from r)
+      select key, synset, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), '|') as translations from m where synset <> '' and len(t) > 0""",
+    "ja_stop_words": f"""
+      with {_PAIRS}, t as (select distinct unnest(regexp_extract_all(target, '[\\p{{Han}}]+|[\\p{{Hiragana}}]+|[\\p{{Katakana}}ー]+|[A-Za-z0-9]+')) as term from pairs)
+      select term, regexp_matches(term, '[0-9]') or regexp_full_match(term, '[\\p{{Hiragana}}ー]+') or regexp_full_match(term, '[年月日]+') or regexp_matches(term, '\\p{{Latin}}') as stop from t""",
+    "cut_texts": """
+      with c as (select sense_id, i, text[i] as c, len(text) as n from (select sense_id, text, unnest(range(1, len(text) + 1)) as i from senses where text is not null)),
+      w as (select *, coalesce(sum(case when unicode(c) > 256 then 2 else 1 end) over (partition by sense_id order by i rows between unbounded preceding and 1 preceding), 0) as used from c),
+      k as (select sense_id, n, string_agg(c, '' order by i) as t, count(*) as m from w where used <= 30 group by all)
+      select sense_id, case when m < n then t || '...' else t end as text from k union all select sense_id, '' from senses where text = ''""",
 }

@@ -57,8 +57,10 @@ def crammed(spark, directory):
 
 
 def reject_reasons(spark, directory):
-    """Why parallel lines are no good examples."""
-    return pairs(spark, directory).groupBy(F.coalesce(examples.reject_reason(F.col("source"), F.col("target")), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+    """Why parallel lines are no good examples: repeats first, then what the gate refuses."""
+    marked = examples.duplicated(pairs(spark, directory))
+    reason = F.coalesce(F.concat("duplicate", F.lit("-repeated")), examples.reject_reason(F.col("source"), F.col("target")), F.lit("kept"))
+    return marked.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
 def _exnum(spark, directory):
@@ -307,7 +309,10 @@ SQL = {
       select doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '\\r', '', 'g'), '\\n[ \\t]*(?:\\n[ \\t]*)+'),
         lambda p: {q.trim("regexp_replace(p, '[ ' || chr(9) || ']*' || chr(10) || '[ ' || chr(9) || ']*', ' ', 'g')")}), lambda p: p <> ''), chr(10)) as text
       from documents where text is not null and source in ('encyclopedia', 'book')""",
-    "reject_reasons": f"with {_PAIRS} select coalesce({_REASON}, 'kept') as reason, count(*) as n from pairs group by all",
+    "reject_reasons": f"""
+      with {_PAIRS}, a as (select *, row_number() over (partition by lower(source) order by id) as i from pairs),
+      b as (select *, case when i = 1 then row_number() over (partition by lower(target), i order by id) end as j from a)
+      select case when i > 1 then 'source-repeated' when j > 1 then 'target-repeated' else coalesce({_REASON}, 'kept') end as reason, count(*) as n from b group by all""",
     "example_rank": f"""
       with {_EXNUM},
       fit as (select * from pairs where len(source) between 28.5 and 114 and len(target) between 14.5 and 58),
