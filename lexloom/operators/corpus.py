@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_word, word_weight
+from ..functions.text import word_weight
 from ..runtime import bounded, cut, work_partitions
-from .tokenize import document_sentences, ngrams, sentences, tokens
+from .tokenize import document_sentences, key_forms, ngrams, sentences, tokens
 
 # Reach of a co-occurrence window, decay by distance and over sentences, scale and exponents of scores.
 WINDOW, DECAY, OTHER_SENTENCE, SCALE = 20, 0.95, 0.5, 1000
@@ -39,7 +39,7 @@ def sentence_tokens(documents: DataFrame, lowering: bool) -> DataFrame:
 
 def lowered(sentences: DataFrame) -> DataFrame:
     """The same sentences with their words in key form."""
-    return sentences.withColumn("words", F.transform("words", normalize_word))
+    return sentences.withColumn("words", key_forms(F.col("words")))
 
 
 def totals(sentences: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def _ends_no_sentence() -> str:
 
 
 #: Blanks between the stops of initials, which are no gaps between words.
-_WITHIN_INITIALS = r"(?<=(?:^|[^\p{L}\p{N}_])\p{Lu}\.) +(?=\p{Lu}\.)"
+_WITHIN_INITIALS = r" (?<=(?:^|[^\p{L}\p{N}_])\p{Lu}\. ) *(?=\p{Lu}\.)"
 #: Where a sentence ends: at a line's end, behind an ideographic stop, and in the blanks between a stop and a capital.
 _BOUNDARY = rf"\n|(?<=。)|(?<=[.?!]){_ends_no_sentence()} +(?=[\"\p{{Lu}}\p{{Lo}}])"
 
@@ -76,7 +76,12 @@ def sentences(text: Column) -> Column:
 def tokens(sentence: Column, lowering: bool = False) -> Column:
     """The simple tokens of a sentence, with `lowering` in key form."""
     found = F.regexp_extract_all(_chain(sentence, TOKEN_RULES), F.lit(TOKEN.replace(r"\p{Latin}", r"\p{IsLatin}")), F.lit(0))
-    return F.transform(found, normalize_word) if lowering else found
+    return key_forms(found) if lowering else found
+
+
+def key_forms(words: Column) -> Column:
+    """Words without blanks in key form: all at once, for a call for each word costs more than the work."""
+    return F.filter(F.split(normalize_word(F.array_join(words, "\x01")), "\x01"), lambda w: w != "")
 
 
 def tokenize(df: DataFrame, language: str, text: str, lowering: bool = False, plugins: dict | None = None) -> Column:
