@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.llm import charforms, consensus, leak, spans, tokens
-from lexloom.llm.queries import survivors
+from lexloom.llm.queries import QUERIES, survivors
 
 
 @pytest.mark.parametrize(
@@ -86,6 +86,22 @@ def test_consensus_by_votes(spark):
     assert consensus.consensus(candidates(spark, rows).limit(0)).count() == 0
 
 
+def test_a_strict_order_aligns_nothing(spark):
+    rows = [(1, "f", "a b", 1, None, 1), (1, "f", "c d", 1, "2021", 2), (1, "f", None, 9, "2022", 3)]
+    plans = {how: consensus.consensus(candidates(spark, rows), how)._jdf.queryExecution().executedPlan().toString() for how in ("precedence", "sum")}
+    assert "MapInArrow" not in plans["precedence"] and "MapInArrow" in plans["sum"]
+    assert consensus.consensus(candidates(spark, rows)).first().survivor == 2
+
+
+def test_alignment_and_votes_decide_consensus_records(spark, tmp_path):
+    texts = [(1, "a x c d", "we"), (2, "a b y d", "wn"), (3, "z b c d", "wn"), (4, "a b c d", "wj")]
+    rows = [(i, "cat", label, "noun", t, "kat" if i > 2 else None, None, "2021-01-01") for i, t, label in texts]
+    spark.createDataFrame(rows, "record_id long, word string, label string, pos string, text string, pronunciation string, translation string, updated_at string").write.parquet(f"{tmp_path}/entry_records.parquet")
+    spark.createDataFrame([("we", 5), ("wn", 4), ("wj", 1)], "label string, trust int").write.parquet(f"{tmp_path}/label_trust.parquet")
+    got = {name: [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()] for name in ("p3_found", "consensus_records")}
+    assert got == {"p3_found": [(1, 1, 3, -1)], "consensus_records": [(1, 4, 3, -1)]}
+
+
 @pytest.mark.parametrize("how", ["sum", "precedence"])
 def test_consensus_is_the_same_at_every_size(spark, how):
     rng = random.Random(4)
