@@ -181,6 +181,21 @@ def test_leaks_with_unseen_names_and_units(spark):
         assert {tuple(r) for r in leak.find_leaks(d, i, window=13, exchanged=True, block_windows=block).collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_words_of_verbatim_leaks_have_no_placeholder():
+    codes = leak.codings(["1990", "1991", "km", "miles"], "1990 1991 km miles", False)[0]
+    assert len(set(codes)) == 4 and min(codes) > leak.UNIT
+
+
+def test_leak_kinds(spark, tmp_path):
+    other = ITEM.replace("1990", "1750").replace("12", "40").replace("Bostok", "Zagreb")
+    docs = [(1, f"x {ITEM} y"), (2, other), (3, f"{ITEM}. {other}"), (4, ITEM.replace("people", "birds").replace("river", "lake")), (5, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, ITEM), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    got = {name: sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()) for name in ("p7_found", "leak_kinds")}
+    assert got["p7_found"] == [(1, 1), (3, 1)]
+    assert got["leak_kinds"] == [(1, 1, "verbatim"), (2, 1, "exchanged"), (3, 1, "exchanged"), (3, 1, "verbatim")]
+
+
 def test_recall_of_planted_exchanges(spark):
     rng = random.Random(8)
     plain = [f"{a}{b}{c}" for a in ("ro", "ta", "mi", "ne") for b in ("la", "ki", "su") for c in ("m", "r", "n", "st")]
